@@ -63,7 +63,7 @@ def household_day_sequence(days: DataFrame, settings: Settings) -> DataFrame:
     Claims dated NULL sort first and are never close to another claim.
     """
     in_order = Window.partitionBy("household_id").orderBy("request_date")
-    hours = F.datediff("request_date", "prev_date") * 24
+    hours = F.datediff("request_date", "prev_date").cast("long") * 24
     follows = F.coalesce(
         (F.col("hours_between") <= settings.coordination_hours) & (F.col("first_customer") != F.col("prev_customer")),
         F.lit(False),

@@ -46,10 +46,10 @@ class HotKeys:
         item = top.select(F.explode("top").alias("t")).filter(F.col("t.count") >= self.min_rows)
         return F.broadcast(item.select(F.col("t.item").alias(self.key), F.lit(True).alias(_HOT)))
 
-    def _salted(self, many: DataFrame, spread_by: str) -> DataFrame:
+    def _salted(self, many: DataFrame, spread_by: tuple[str, ...]) -> DataFrame:
         """NULL keys never match, so their rows are spread as well."""
         spread = F.col(_HOT) | F.col(self.key).isNull()
-        salt = F.when(spread, F.pmod(F.xxhash64(spread_by), F.lit(self.salts))).otherwise(F.lit(0))
+        salt = F.when(spread, F.pmod(F.xxhash64(*spread_by), F.lit(self.salts))).otherwise(F.lit(0))
         return many.join(self._keys(), self.key, "left").withColumn(SALT, salt.cast("int"))
 
     def _repeated(self, other: DataFrame) -> DataFrame:
@@ -57,12 +57,12 @@ class HotKeys:
         salts = F.when(F.col(_HOT), every).otherwise(F.array(F.lit(0)))
         return other.join(self._keys(), self.key, "left").withColumn(SALT, F.explode(salts))
 
-    def lookup(self, many: DataFrame, table: DataFrame, spread_by: str) -> DataFrame:
+    def lookup(self, many: DataFrame, table: DataFrame, *spread_by: str) -> DataFrame:
         """``many`` left join ``table``."""
         right = self._repeated(table).drop(_HOT)
         return self._salted(many, spread_by).join(right, [self.key, SALT], "left").drop(SALT, _HOT)
 
-    def inner(self, other: DataFrame, many: DataFrame, spread_by: str) -> DataFrame:
+    def inner(self, other: DataFrame, many: DataFrame, *spread_by: str) -> DataFrame:
         """``other`` inner join ``many``."""
         right = self._salted(many, spread_by).drop(_HOT)
         return self._repeated(other).drop(_HOT).join(right, [self.key, SALT]).drop(SALT)
@@ -76,7 +76,7 @@ class HotKeys:
         joined = self._repeated(other)
         for table in lookups:
             joined = joined.join(self._repeated(table).drop(_HOT), [self.key, SALT], "left")
-        right = self._salted(many, spread_by).drop(_HOT).withColumn(_MATCH, F.lit(True))
+        right = self._salted(many, (spread_by,)).drop(_HOT).withColumn(_MATCH, F.lit(True))
         joined = joined.join(right, [self.key, SALT], "left")
         artefact = F.coalesce(F.col(_HOT), F.lit(False)) & F.col(_MATCH).isNull()
         return joined.filter(~artefact).drop(SALT, _HOT, _MATCH)

@@ -87,7 +87,7 @@ def leakage_by_category(cases: DataFrame) -> DataFrame:
 
 def refund_leakage(cases: DataFrame, decisions: DataFrame) -> DataFrame:
     """Amount of the cases that should have been rejected but were approved in the past."""
-    approved = decisions.filter(F.col("action") == "approved").select("refund_id")
+    approved = decisions.filter(F.col("action") == "approved").select("refund_id").distinct()
     lost = cases.filter(F.col("recommended_action") == "REJECT").join(approved, "refund_id", "left_semi")
     return lost.agg(
         F.count(F.lit(1)).alias("leaked_cases"),

@@ -47,8 +47,13 @@ def requested_cases(cases: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def missing_cases(cases: DataFrame, ids: DataFrame) -> DataFrame:
-    """Requested ids without a case."""
-    unknown = ids.select("refund_id").distinct().join(cases.select("refund_id"), "refund_id", "left_anti")
+    """Requested ids without a case.
+
+    Cases are first reduced to the requested ones, so that few ids are broadcast and the cases stay where they are.
+    """
+    wanted = ids.select("refund_id").distinct()
+    known = cases.select("refund_id").join(wanted, "refund_id", "left_semi").distinct()
+    unknown = wanted.join(known, "refund_id", "left_anti")
     return unknown.withColumn("error", F.lit("Refund not found"))
 
 
