@@ -236,5 +236,6 @@ def replies(requests: DataFrame) -> DataFrame:
 def requested_ids(requests: DataFrame) -> DataFrame:
     """Every third claim, and two ids nobody filed."""
     known = requests.filter(claim_number() % 3 == 0).select("refund_id")
-    unknown = requests.sparkSession.createDataFrame([("REF-UNKNOWN-1",), ("REF-UNKNOWN-2",)], "refund_id string")
+    numbers = requests.sparkSession.range(1, 3)
+    unknown = numbers.select(F.concat(F.lit("REF-UNKNOWN-"), F.col("id").cast("string")).alias("refund_id"))
     return known.unionByName(unknown)
