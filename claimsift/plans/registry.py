@@ -118,7 +118,7 @@ def _feedback_append(d: Data) -> DataFrame:
     """Feedback appended in two batches and read back; the random ids are reduced to whether they are set."""
     path = f"{shared_folder(d.spark, 'feedback')}/feedback"
     submitted = d.feedback.drop("feedback_id")
-    even = testdata.claim_number() % 20 == 0
+    even = testdata.claim_number() % 2 == 0
     serving.append_feedback(submitted.filter(even), path)
     serving.append_feedback(submitted.filter(~even), path)
     log = d.spark.read.schema(serving.FEEDBACK_LOG).parquet(path)

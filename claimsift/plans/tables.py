@@ -74,6 +74,11 @@ class Workspace:
             self._ready[name] = self._stored(name, df)
         return self._ready[name]
 
+    def create_views(self, prefix: str = "") -> None:
+        """Register every table of the run as a temporary view for use with ``spark.sql``."""
+        for name in (*SOURCES, *TABLES):
+            self.table(name).createOrReplaceTempView(f"{prefix}{name}")
+
     def _stored(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self._out}/{name}"
         if name == "live_cases":

@@ -212,10 +212,10 @@ def actions(requests: DataFrame) -> DataFrame:
 
 
 def feedback(requests: DataFrame) -> DataFrame:
-    """Feedback on every tenth claim; some of an unknown type."""
+    """Feedback on every claim; some of an unknown type."""
     k = claim_number()
-    kind = F.when(k % 90 == 0, "other").when(k % 20 == 0, "false_positive").otherwise("missed_abuse")
-    return requests.filter(k % 10 == 0).select(
+    kind = F.when(k % 9 == 0, "other").when(k % 2 == 0, "false_positive").otherwise("missed_abuse")
+    return requests.select(
         F.concat(F.lit("FB-"), k.cast("string")).alias("feedback_id"), "refund_id", kind.alias("feedback_type"),
         F.concat(F.lit("n"), k.cast("string")).alias("notes"),
         F.date_add("request_date", 2).cast("timestamp").alias("submitted_at"),
@@ -234,8 +234,7 @@ def replies(requests: DataFrame) -> DataFrame:
 
 
 def requested_ids(requests: DataFrame) -> DataFrame:
-    """Every third claim, and two ids nobody filed."""
-    known = requests.filter(claim_number() % 3 == 0).select("refund_id")
+    """Every claim, and two ids nobody filed."""
     numbers = requests.sparkSession.range(1, 3)
     unknown = numbers.select(F.concat(F.lit("REF-UNKNOWN-"), F.col("id").cast("string")).alias("refund_id"))
-    return known.unionByName(unknown)
+    return requests.select("refund_id").unionByName(unknown)

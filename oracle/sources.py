@@ -112,10 +112,10 @@ SOURCES = {
         FROM numbered_requests WHERE k % 5 = 0""",
     "feedback": """
         SELECT 'FB-' || k AS feedback_id, refund_id,
-               CASE WHEN k % 90 = 0 THEN 'other' WHEN k % 20 = 0 THEN 'false_positive' ELSE 'missed_abuse' END
+               CASE WHEN k % 9 = 0 THEN 'other' WHEN k % 2 = 0 THEN 'false_positive' ELSE 'missed_abuse' END
                    AS feedback_type,
                'n' || k AS notes, CAST(request_date + 2 AS TIMESTAMP) AS submitted_at
-        FROM numbered_requests WHERE k % 10 = 0""",
+        FROM numbered_requests""",
     "replies": """
         SELECT refund_id, CASE WHEN k % 3 = 0
             THEN 'Here it is: {"action": "ESCALATE", "confidence": 0.' || (k % 9 + 1) || ', "explanation": "case ' || k
@@ -123,6 +123,6 @@ SOURCES = {
             ELSE 'no json here' END AS raw
         FROM numbered_requests WHERE k % 3 <> 2""",
     "ids": """
-        SELECT refund_id FROM numbered_requests WHERE k % 3 = 0
+        SELECT refund_id FROM refund_requests
         UNION ALL SELECT 'REF-UNKNOWN-1' UNION ALL SELECT 'REF-UNKNOWN-2'""",
 }

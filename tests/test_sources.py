@@ -112,6 +112,17 @@ def test_tables_do_not_depend_on_partitioning(spark, built, conf):
         assert again.count() == built.table(name).count()
 
 
+def test_tables_can_be_queried_with_sql(spark, built):
+    built.create_views("claims_")
+    top = spark.sql("""
+        SELECT customer_id, risk_tier, refund_rate FROM claims_customer_360 WHERE risk_tier IN ('HIGH', 'CRITICAL')
+        ORDER BY refund_rate DESC LIMIT 20""")
+    leakage = spark.sql("""
+        SELECT product_category, SUM(CASE WHEN recommended_action = 'REJECT' THEN amount ELSE 0 END) AS leakage
+        FROM claims_case_decisioning GROUP BY product_category ORDER BY leakage DESC""")
+    assert top.count() == 20 and leakage.count() == 10
+
+
 def test_windows_follow_the_as_of_date(spark, built):
     later = Settings(as_of=dt.date(2030, 1, 1))
     past = TABLES["customer_refund_history"].build(built.table("refund_requests"), later)
