@@ -25,6 +25,12 @@ UNAUTHORIZED = "Unauthorized purchase - fraud team review"
 COORDINATED = "Household coordination detected"
 DELIVERED = "Claims non-delivery but delivery confirmed with photo"
 
+# The policy checks and the severity-tagged signals shown to a reviewer.
+CHECKS = ("Return Window", "Delivery Verified", "Item Condition", "High-Value Item")
+HIGH_RATE = "High refund rate: "
+NO_DELIVERY = "Non-delivery claim with photo-confirmed delivery"
+GAMING = "Return window gaming: day "
+
 # The question put to a language model; {names} stand for values of the case.
 PROMPT = """You are a refund abuse analyst. Provide a structured recommendation.
 
@@ -88,7 +94,7 @@ def with_risk(cases: DataFrame) -> DataFrame:
     recent = F.coalesce("customer_360.refunds_90d", F.lit(0))
     signals = lines_where(
         (tier.isin(*ABUSE_TIERS), F.concat(F.lit("Customer risk tier: "), tier)),
-        (rate > 0.25, F.concat(F.lit("High refund rate: "), percent(rate))),
+        (rate > 0.25, F.concat(F.lit(HIGH_RATE), percent(rate))),
         (recent > 5, F.concat(F.lit("Frequent refunder: "), recent.cast("string"), F.lit(" in 90 days"))),
         (_is_true("customer_360.coordinated_timing_flag"), COORDINATED),
         (_contradicts_delivery(), DELIVERED),
@@ -190,13 +196,14 @@ def policy_checks(cases: DataFrame) -> DataFrame:
         return F.when(F.col(name) != "", F.col(name)).otherwise(F.lit(word))
 
     high_value = _is_true("is_high_value")
+    window, delivery, condition, value = CHECKS
     checks = F.array(
-        check("Return Window", _is_true("within_return_window"),
+        check(window, _is_true("within_return_window"),
               F.concat(or_word(F.col("days_since_order"), "?"), F.lit(" days since order"))),
-        check("Delivery Verified", _is_true("delivery_confirmed"), text_or("delivery_issues", "No issues")),
-        check("Item Condition", F.coalesce(F.col("item_condition") != "missing", F.lit(True)),
+        check(delivery, _is_true("delivery_confirmed"), text_or("delivery_issues", "No issues")),
+        check(condition, F.coalesce(F.col("item_condition") != "missing", F.lit(True)),
               text_or("item_condition", "Unknown")),
-        check("High-Value Item", ~high_value,
+        check(value, ~high_value,
               F.when(high_value, F.lit("Requires manual review")).otherwise(F.lit("Standard item"))),
     )
     return cases.select("refund_id", F.explode(checks).alias("c")).select("refund_id", "c.*")
@@ -212,13 +219,13 @@ def abuse_signals(cases: DataFrame) -> DataFrame:
     rate, recent = F.col("customer_360.refund_rate"), F.col("customer_360.refunds_90d")
     day = F.col("days_since_order")
     found = F.array_compact(F.array(
-        signal(rate > 0.25, F.concat(F.lit("High refund rate: "), percent(rate)), "high"),
+        signal(rate > 0.25, F.concat(F.lit(HIGH_RATE), percent(rate)), "high"),
         signal(recent > 5, F.concat(recent.cast("string"), F.lit(" refunds in 90 days")),
                banded([(recent > 10, "critical")], "high")),
         signal(F.col("customer_360.coordinated_timing_flag"), COORDINATED, "critical"),
-        signal(_contradicts_delivery(), "Non-delivery claim with photo-confirmed delivery", "critical"),
+        signal(_contradicts_delivery(), NO_DELIVERY, "critical"),
         signal((day > 25) & (day <= 30),
-               F.concat(F.lit("Return window gaming: day "), day.cast("string"), F.lit(" of 30")), "medium"),
+               F.concat(F.lit(GAMING), day.cast("string"), F.lit(" of 30")), "medium"),
     ))
     return cases.select("refund_id", F.explode(found).alias("s")).select("refund_id", "s.*")
 

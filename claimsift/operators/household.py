@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from claimsift.functions.numeric import MONEY, count_where
+from claimsift.functions.numeric import MONEY, count_where, whole
 from claimsift.operators.history import within_last
 from claimsift.operators.keyed import HotKeys
 from claimsift.settings import Settings
@@ -32,7 +32,7 @@ def household_days(requests: DataFrame, households: DataFrame, settings: Setting
     per_customer = dated.groupBy("customer_id").agg(
         F.count("refund_id").alias("total_refunds"),
         count_where(within_last(settings.short_window_days, settings)).alias("refunds_30d"),
-        F.sum(F.col("amount").cast(MONEY)).alias("amount"),
+        F.sum(whole("amount")).alias("amount"),
         F.sort_array(F.collect_set("reason_code")).alias("reason_codes"),
         F.collect_set("request_date").alias("days"),
     )
@@ -88,12 +88,12 @@ def household_coordination(sequence: DataFrame) -> DataFrame:
 def household_activity(requests: DataFrame, households: DataFrame, settings: Settings, **hot: int) -> DataFrame:
     """Activity and coordination of each household with a claim, from one pass over the claims."""
     sequence = household_day_sequence(household_days(requests, households, settings, **hot), settings)
-    codes = F.array_sort(F.array_distinct(F.flatten(F.collect_set("reason_codes"))))
+    codes = F.sort_array(F.array_distinct(F.flatten(F.collect_set("reason_codes"))))
     return sequence.groupBy("household_id").agg(
         F.sum("members").cast("long").alias("household_members_with_refunds"),
         F.sum("total_refunds").cast("long").alias("household_total_refunds"),
         F.sum("refunds_30d").cast("long").alias("household_refund_count_30d"),
-        F.sum("amount").cast("double").alias("household_total_refund_amount"),
+        (F.sum("amount") / F.lit(float(MONEY))).alias("household_total_refund_amount"),
         F.array_join(codes, ", ").alias("household_reason_codes"),
         F.sum("coordinated").alias("coordinated_refund_count"),
     ).withColumn("coordinated_timing_flag", F.col("coordinated_refund_count") > 0)

@@ -8,6 +8,13 @@ from claimsift.functions.bands import customer_tier
 from claimsift.functions.numeric import ratio
 from claimsift.operators.keyed import HotKeys, first_per_key
 
+# What a profile and its household contribute, in the order of the profile table.
+PROFILE_COLUMNS = (
+    "customer_id", "first_name", "last_name", "email", "tier", "lifetime_orders", "lifetime_refunds", "lifetime_spend",
+    "account_created_date", "total_refunds", "total_refund_amount", "avg_refund_amount", "refunds_30d", "refunds_90d",
+    "total_refund_amount_90d", "refund_frequency", "last_refund_date", "refund_rate", "risk_tier", "household_id",
+    "shared_address_flag",
+)
 _SIGNALS = ("household_refund_count_30d", "coordinated_timing_flag", "household_total_refund_amount")
 
 
@@ -40,12 +47,7 @@ def customer_360(
     refund_rate = ratio(F.coalesce("total_refunds", F.lit(0)), F.col("lifetime_orders"))
     tier = customer_tier(F.col("refund_rate"), F.col("refunds_90d"), F.col("coordinated_timing_flag"))
     return joined.withColumn("refund_rate", refund_rate).withColumn("risk_tier", tier).select(
-        "customer_id", "first_name", "last_name", "email", "tier",
-        "lifetime_orders", "lifetime_refunds", "lifetime_spend", "account_created_date",
-        "total_refunds", "total_refund_amount", "avg_refund_amount", "refunds_30d", "refunds_90d",
-        "total_refund_amount_90d", "refund_frequency", "last_refund_date",
-        "refund_rate", "risk_tier", "household_id", "shared_address_flag", *_SIGNALS,
-    )
+        *PROFILE_COLUMNS, *_SIGNALS)
 
 
 def one_row_per_customer(profiles: DataFrame) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from claimsift.operators.keyed import HotKeys, first_per_key
 from claimsift.operators.profiles import one_row_per_customer
 
+# What a queue shows of a case.
 QUEUE_COLUMNS = (
     "refund_id", "order_id", "customer_id", "first_name", "last_name", "tier", "reason_code", "amount", "channel",
     "request_date", "risk_score", "recommended_action", "workflow_state", "abuse_risk_tier", "product_name",
@@ -17,9 +18,13 @@ MAX_PAGE = 200
 
 def case_queue(
     live: DataFrame, status: str | None = None, risk_tier: str | None = None, channel: str | None = None,
-    limit: int = 50, offset: int = 0,
+    limit: int = 50, offset: int = 0, after: tuple[float, str, str | None] | None = None,
 ) -> DataFrame:
-    """A page of the queue, highest risk first; filters on state and tier prune partitions of the serving table."""
+    """A page of the queue, highest risk first; filters on state and tier prune partitions of the serving table.
+
+    Each task keeps ``offset + limit`` rows, so go deep with ``after`` instead: the (risk_score, refund_id, household_id)
+    of the last row seen. The page then costs the same however deep it lies; it carries ``household_id`` for that.
+    """
     if not 1 <= limit <= MAX_PAGE:
         raise ValueError(f"limit must be between 1 and {MAX_PAGE}, got {limit}")
     if offset < 0:
@@ -28,9 +33,19 @@ def case_queue(
     for column, value in wanted.items():
         if value:
             live = live.filter(F.col(column) == value)
+    if after is not None:
+        live = live.filter(_comes_after(*after))
     order = (F.desc("risk_score"), F.asc("refund_id"), F.asc_nulls_last("household_id"))
-    page = live.select(*QUEUE_COLUMNS, "household_id").orderBy(*order).offset(offset).limit(limit)
-    return page.select(*QUEUE_COLUMNS)
+    return live.select(*QUEUE_COLUMNS, "household_id").orderBy(*order).offset(offset).limit(limit)
+
+
+def _comes_after(score: float, refund_id: str, household_id: str | None) -> Column:
+    """Rows behind the given one in queue order, where a missing household comes last."""
+    same = (F.col("risk_score") == score) & (F.col("refund_id") == refund_id)
+    home = F.col("household_id")
+    later_home = F.lit(False) if household_id is None else home.isNull() | (home > household_id)
+    lower = (F.col("risk_score") < score) | ((F.col("risk_score") == score) & (F.col("refund_id") > refund_id))
+    return lower | (same & later_home)
 
 
 def one_row_per_case(cases: DataFrame) -> DataFrame:
@@ -43,7 +58,11 @@ def one_row_per_case(cases: DataFrame) -> DataFrame:
 
 def requested_cases(cases: DataFrame, ids: DataFrame) -> DataFrame:
     """The cases asked for, one row each."""
-    return one_row_per_case(cases.join(ids.select("refund_id").distinct(), "refund_id", "left_semi"))
+    return one_row_per_case(_asked_for(cases, ids))
+
+
+def _asked_for(cases: DataFrame, ids: DataFrame) -> DataFrame:
+    return cases.join(ids.select("refund_id").distinct(), "refund_id", "left_semi")
 
 
 def missing_cases(cases: DataFrame, ids: DataFrame) -> DataFrame:
@@ -60,7 +79,8 @@ def missing_cases(cases: DataFrame, ids: DataFrame) -> DataFrame:
 def case_detail(cases: DataFrame, profiles: DataFrame, ids: DataFrame, **hot: int) -> DataFrame:
     """Requested cases with the profile of their customer as the struct ``customer_360`` (NULL if there is none)."""
     found = requested_cases(cases, ids)
-    needed = profiles.join(found.select("customer_id").distinct(), "customer_id", "left_semi")
+    customers = _asked_for(cases, ids).select("customer_id").distinct()
+    needed = profiles.join(customers, "customer_id", "left_semi")
     nested = one_row_per_customer(needed).select("customer_id", F.struct(*profiles.columns).alias("customer_360"))
     joined = HotKeys(cases, "customer_id", **hot).lookup(found, nested, "refund_id")
     return joined.select(*cases.columns, "customer_360")

@@ -16,6 +16,7 @@ from claimsift.settings import Settings
 # The facts listed with the component scores as reasons of a recommendation.
 REASON_FACTS = ("within_return_window", "delivery_confirmed", "days_since_order")
 
+# The columns of a scored case.
 CASE_COLUMNS = (
     "refund_id", "order_id", "customer_id", "first_name", "last_name", "tier",
     "reason_code", "amount", "channel", "request_date", "item_condition",

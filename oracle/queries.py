@@ -21,7 +21,7 @@ LIVE = CASE.replace(
 NO_REVIEW = """CAST(NULL AS VARCHAR) AS csr_action, CAST(NULL AS VARCHAR) AS csr_reason,
     CAST(NULL AS TIMESTAMP) AS csr_acted_at, CAST(NULL AS VARCHAR) AS ai_explanation"""
 QUEUE = """refund_id, order_id, customer_id, first_name, last_name, tier, reason_code, amount, channel, request_date,
-    risk_score, recommended_action, workflow_state, abuse_risk_tier, product_name, product_category"""
+    risk_score, recommended_action, workflow_state, abuse_risk_tier, product_name, product_category, household_id"""
 MEAN_SCORE = exact(f"{score_sum()} / count(risk_score)")
 LEAKAGE = money("CASE WHEN recommended_action = 'REJECT' THEN amount ELSE 0 END")
 WATCHED = "risk_tier IN ('HIGH', 'CRITICAL')"

@@ -98,6 +98,14 @@ def test_queue_order_paging_and_filters(cases):
     assert queue.case_queue(cases, status="x' OR '1'='1").count() == 0
 
 
+def test_queue_pages_by_last_row(cases):
+    seen, last = [], None
+    while page := queue.case_queue(cases, limit=1, after=last).collect():
+        last = (page[0].risk_score, page[0].refund_id, page[0].household_id)
+        seen.append(last)
+    assert seen == [(0.9, "A", "H2"), (0.8, "A", "H1"), (0.5, "C", None), (0.1, "B", None)]
+
+
 @pytest.mark.parametrize("options", [dict(limit=0), dict(limit=201), dict(offset=-1)])
 def test_queue_rejects_bad_pages(cases, options):
     with pytest.raises(ValueError):
