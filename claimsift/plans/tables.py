@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -74,6 +75,16 @@ class Workspace:
             self._ready[name] = self._stored(name, df)
         return self._ready[name]
 
+    def build(self, at_once: int = 4) -> None:
+        """Build every table. Tables that need none of each other are submitted together, so that one fills the
+        executors which the last tasks of another leave idle."""
+        waiting = {name: () for name in SOURCES} | {name: table.inputs for name, table in TABLES.items()}
+        with ThreadPoolExecutor(at_once) as pool:
+            while waiting:
+                ready = [name for name, inputs in waiting.items() if not waiting.keys() & set(inputs)]
+                list(pool.map(self.table, ready))
+                waiting = {name: inputs for name, inputs in waiting.items() if name not in ready}
+
     def create_views(self, prefix: str = "") -> None:
         """Register every table of the run as a temporary view for use with ``spark.sql``."""
         for name in (*SOURCES, *TABLES):
@@ -88,9 +99,8 @@ class Workspace:
         return self.spark.read.schema(df.schema).parquet(path)
 
 
-def build_all(spark: SparkSession, csv_base: str, out: str, settings: Settings) -> Workspace:
+def build_all(spark: SparkSession, csv_base: str, out: str, settings: Settings, at_once: int = 4) -> Workspace:
     """Build every table from the CSV files below ``csv_base``."""
     run = Workspace(spark, lambda name: source_path(spark, csv_base, name), out, settings)
-    for name in (*SOURCES, *TABLES):
-        run.table(name)
+    run.build(at_once)
     return run

@@ -62,6 +62,16 @@ def test_expectations_drop_and_report(spark):
     assert report == {"valid_refund_id": (4, 2), "valid_amount": (2, 4)}
 
 
+def test_unreadable_values_are_dropped_by_the_rules(spark, tmp_path):
+    lines = ["refund_id,order_id,customer_id,reason_code,amount,channel,request_date,item_condition",
+             "R1,O1,1,DAMAGED,5.5,online,2025-03-01,used", "R2,O1,1,DAMAGED,five,online,2025-03-01,used",
+             ",O1,1,DAMAGED,5.5,online,2025-03-01,used", "R4,O1,1,DAMAGED,5.5,online,someday,used"]
+    (tmp_path / "refund_requests.csv").write_text("\n".join(lines))
+    df = read_source(spark, str(tmp_path / "refund_requests.csv"), "refund_requests")
+    kept = quality.apply_expectations(df, quality.EXPECTATIONS["refund_requests"]).orderBy("refund_id").collect()
+    assert [(r.refund_id, r.request_date) for r in kept] == [("R1", dt.date(2025, 3, 1)), ("R4", None)]
+
+
 def test_report_of_an_empty_table(spark):
     row = quality.expectation_report({"store_locations": source(spark, "store_locations")}).first()
     assert (row.passed, row.dropped) == (0, 0)
