@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from claimsift.functions.bands import banded
 from claimsift.functions.text import lines_where, listed, or_word, percent, quoted_list, true_false
 from claimsift.operators.keyed import HotKeys
-from claimsift.operators.queue import case_detail, requested_cases
+from claimsift.operators.queue import requested_cases, with_profile
 from claimsift.operators.serving import check_actions, check_feedback, valid_rows
 from claimsift.schemas import REPLY
 from claimsift.settings import ABUSE_TIERS, Settings
@@ -52,6 +52,7 @@ Respond with EXACTLY this JSON:
 "key_factors": ["factor1", "factor2"]}"""
 
 EXCERPT = 200
+_REPLY = "_reply"
 
 
 def _is_true(name: str) -> Column:
@@ -139,16 +140,18 @@ def parse_replies(replies: DataFrame) -> DataFrame:
     return parsed.select("refund_id", F.col("reply").isNotNull().alias("parsed"), "reply.*")
 
 
-def with_recommendation(cases: DataFrame, replies: DataFrame | None = None) -> DataFrame:
-    """Step 4, answer: struct ``recommendation`` from the model's reply, or from the rules where there is none.
-
-    ``replies`` holds (refund_id, raw) with at most one row per claim.
-    """
+def with_replies(cases: DataFrame, replies: DataFrame | None) -> DataFrame:
+    """Adds the parsed reply of each case; ``replies`` holds (refund_id, raw) with at most one row per claim."""
     if replies is None:
-        cases = cases.withColumn("_reply", F.lit(None).cast(REPLY))
-    else:
-        answers = replies.select("refund_id", parse_reply(F.col("raw")).alias("_reply"))
-        cases = cases.join(answers, "refund_id", "left")
+        return cases.withColumn(_REPLY, F.lit(None).cast(REPLY))
+    answers = replies.select("refund_id", parse_reply(F.col("raw")).alias(_REPLY))
+    return cases.join(answers, "refund_id", "left")
+
+
+def with_recommendation(cases: DataFrame, replies: DataFrame | None = None) -> DataFrame:
+    """Step 4, answer: struct ``recommendation`` from the model's reply, or from the rules where there is none."""
+    if _REPLY not in cases.columns:
+        cases = with_replies(cases, replies)
     signals = F.col("risk.signals")
     explanation = F.concat(F.lit("Rule-based recommendation (LLM unavailable): "), quoted_list(signals))
     recommendation = F.struct(
@@ -158,16 +161,21 @@ def with_recommendation(cases: DataFrame, replies: DataFrame | None = None) -> D
         F.coalesce("_reply.key_factors", signals).alias("key_factors"),
         F.col("_reply").isNull().alias("fallback"),
     )
-    return cases.withColumn("recommendation", recommendation).drop("_reply")
+    return cases.withColumn("recommendation", recommendation).drop(_REPLY)
 
 
 def decide(
     cases: DataFrame, profiles: DataFrame, ids: DataFrame, settings: Settings, replies: DataFrame | None = None,
+    **hot: int,
 ) -> DataFrame:
-    """All four steps for every requested case: (refund_id, validation, policy, risk, recommendation)."""
-    detail = case_detail(cases, profiles, ids)
+    """All four steps for every requested case: (refund_id, validation, policy, risk, recommendation).
+
+    Replies are joined while the cases are still partitioned by claim, before the profiles move them to their customer.
+    """
+    found = with_replies(requested_cases(cases, ids), replies)
+    detail = with_profile(found, cases, profiles, ids, **hot)
     steps = with_risk(with_policy(with_validation(detail), settings))
-    return with_recommendation(steps, replies).select(
+    return with_recommendation(steps).select(
         "refund_id", "validation", "policy", "risk", "recommendation")
 
 

@@ -10,9 +10,10 @@ from claimsift.settings import Settings
 
 
 def latest_delivery(deliveries: DataFrame) -> DataFrame:
-    """The delivery with the greatest id (compared as text) per order."""
-    narrow = deliveries.select("order_id", "delivery_id", "status", "delivery_issues", "photo_proof")
-    return first_per_key(narrow, ["order_id"], F.desc("delivery_id")).select(
+    """The delivery with the greatest id (compared as text) per order; a repeated id is decided by its values."""
+    values = ("status", "delivery_issues", "photo_proof")
+    narrow = deliveries.select("order_id", "delivery_id", *values)
+    return first_per_key(narrow, ["order_id"], F.desc("delivery_id"), *map(F.desc, values)).select(
         "order_id", F.col("status").alias("delivery_status_actual"), "delivery_issues", "photo_proof",
     )
 

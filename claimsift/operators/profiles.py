@@ -55,5 +55,5 @@ def one_row_per_customer(profiles: DataFrame) -> DataFrame:
     return first_per_key(
         profiles, ["customer_id"],
         F.desc_nulls_last("coordinated_timing_flag"), F.desc_nulls_last("household_refund_count_30d"),
-        F.asc_nulls_last("household_id"),
+        F.asc_nulls_last("household_id"), F.desc_nulls_last("shared_address_flag"),
     )

@@ -31,13 +31,17 @@ TABLES: dict[str, Table] = {
          "refund_policies"),
         enrich.enrich_requests),
     "customer_refund_history": Table(("refund_requests",), history.customer_refund_history),
-    "household_activity": Table(("refund_requests", "household_mappings"), household.household_activity),
+    "household_activity": Table(
+        ("refund_requests", "household_mappings"),
+        lambda requests, members, s: household.household_activity(requests, members, s, **s.hot_keys)),
     "customer_360": Table(
         ("customer_profiles", "customer_refund_history", "household_mappings", "household_activity"),
-        lambda customers, past, members, activity, _: profiles.customer_360(customers, past, members, activity)),
+        lambda customers, past, members, activity, s: profiles.customer_360(
+            customers, past, members, activity, **s.hot_keys)),
     "case_decisioning": Table(
         ("enriched_requests", "customer_refund_history", "household_mappings", "household_activity"),
-        scoring.case_decisioning),
+        lambda enriched, past, members, activity, s: scoring.case_decisioning(
+            enriched, past, members, activity, s, **s.hot_keys)),
     "segment_summary": Table(("case_decisioning",), lambda cases, _: scoring.segment_summary(cases)),
     "live_cases": Table(("case_decisioning",), lambda cases, _: serving.live_cases(cases)),
 }

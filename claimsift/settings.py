@@ -30,7 +30,10 @@ SCORE_TIERS = ("CRITICAL", "HIGH", "MEDIUM", "LOW")
 
 @dataclass(frozen=True)
 class Settings:
-    """Settings of one run; ``as_of`` is the day that plays the role of today."""
+    """Settings of one run; ``as_of`` is the day that plays the role of today.
+
+    ``hot_keys`` overrides when and how far the rows of a key are spread: ``min_rows`` and ``salts`` of ``HotKeys``.
+    """
 
     as_of: dt.date
     short_window_days: int = 30
@@ -39,6 +42,7 @@ class Settings:
     coordination_hours: int = 48
     auto_approve_limit: float = 25.0
     weights: dict[str, float] = field(default_factory=lambda: dict(SCORE_WEIGHTS))
+    hot_keys: dict[str, int] = field(default_factory=dict)
 
     @classmethod
     def today(cls) -> "Settings":

@@ -1,5 +1,7 @@
 """Enrichment and scoring of claims with missing or odd neighbours."""
 
+import json
+
 import pytest
 
 from claimsift.operators import enrich, history, household, profiles, scoring
@@ -87,6 +89,16 @@ def test_cases_fan_out_over_memberships(tables):
     assert single.filter("refund_id = 'unknown'").first().household_id is None
 
 
+def test_reasons_leave_out_what_is_unknown(tables):
+    cases = scoring.case_decisioning(
+        tables["enriched"], tables["history"], tables["members"], tables["activity"], SETTINGS, dedupe=True)
+    reasons = {r.refund_id: json.loads(r.recommendation_reasons_json) for r in cases.collect()}
+    assert set(reasons["full"]) == {*SETTINGS.weights, *scoring.REASON_FACTS}
+    assert set(reasons["unknown"]) == set(SETTINGS.weights)
+    parsed = scoring.decision_reasons(cases, SETTINGS).filter("refund_id = 'full'").first()
+    assert (parsed.amount_score, parsed.days_since_order, parsed.delivery_confirmed) == (0.1, 31, False)
+
+
 def test_profiles_of_quiet_customers(spark, tables):
     quiet = source(spark, "customer_profiles", dict(customer_id=3, lifetime_orders=4), dict(customer_id=4))
     for options in (dict(), dict(dedupe=True), dict(min_rows=1)):

@@ -133,6 +133,14 @@ def test_tables_can_be_queried_with_sql(spark, built):
     assert top.count() == 20 and leakage.count() == 10
 
 
+def test_spreading_hot_keys_changes_nothing(built):
+    spread = Settings(as_of=testdata.AS_OF, hot_keys=dict(min_rows=2, salts=3))
+    for name in ("household_activity", "customer_360", "case_decisioning"):
+        again = TABLES[name].build(*built.inputs(name), spread)
+        assert again.exceptAll(built.table(name)).count() == 0, name
+        assert again.count() == built.table(name).count()
+
+
 def test_windows_follow_the_as_of_date(spark, built):
     later = Settings(as_of=dt.date(2030, 1, 1))
     past = TABLES["customer_refund_history"].build(built.table("refund_requests"), later)
