@@ -40,6 +40,15 @@ def session() -> SparkSession:
     return spark
 
 
+def scale(sf_dir: str) -> float | str:
+    """0.1 for a folder named ``sf0.1``, else the name of the folder."""
+    name = os.path.basename(sf_dir.rstrip("/"))
+    try:
+        return float(name.removeprefix("sf"))
+    except ValueError:
+        return name
+
+
 def measure(spark: SparkSession, sf_dir: str) -> tuple[dict[str, float], int]:
     """Seconds per step and the number of claims."""
     d = registry.data(spark, sf_dir)
@@ -66,7 +75,7 @@ def main() -> None:
     seconds, requests = measure(spark, SF_DIR)
     print(json.dumps({
         "metric": "full table build plus headline queries", "value": round(sum(seconds.values()), 3), "unit": "sec",
-        "requests": requests, "queries": seconds, "sf": os.path.basename(SF_DIR.rstrip("/")),
+        "requests": requests, "queries": seconds, "sf": scale(SF_DIR),
     }))
 
 

@@ -30,12 +30,13 @@ def live_cases(cases: DataFrame) -> DataFrame:
 
 
 def write_live_cases(live: DataFrame, path: str) -> None:
-    """Replace the serving table in one write, partitioned by what queues filter on.
+    """Replace the whole serving table in one write, partitioned by what queues filter on.
 
     The rebalance hint brings the rows of a partition together without forcing a large one into a single task: adaptive
     execution splits big partitions and merges small ones.
     """
-    live.hint("rebalance", *PARTITIONS).write.mode("overwrite").partitionBy(*PARTITIONS).parquet(path)
+    writer = live.hint("rebalance", *PARTITIONS).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "static").partitionBy(*PARTITIONS).parquet(path)
 
 
 def read_live_cases(spark, path: str) -> DataFrame:

@@ -84,7 +84,8 @@ def test_written_table_is_partitioned_and_pruned(spark, cases, tmp_path):
     assert [r.refund_id for r in page.collect()] == ["C"]
 
 
-def test_rewriting_replaces_the_table(spark, cases, tmp_path):
+def test_rewriting_replaces_the_table(spark, cases, tmp_path, conf):
+    conf(spark__sql__sources__partitionOverwriteMode="dynamic")
     path = str(tmp_path / "live")
     serving.write_live_cases(cases, path)
     serving.write_live_cases(cases.filter("refund_id = 'B'"), path)
