@@ -27,8 +27,12 @@ def rows(df, *columns):
 
 def test_hot_keys_are_found(sides):
     _, many, _ = sides
-    found = HotKeys(many, "k", **HOT)._keys()
-    assert {1, 2} <= {row.k for row in found.collect()}
+    assert {1, 2} <= set(HotKeys(many, "k", **HOT).keys)
+
+
+def test_an_empty_table_has_no_hot_key(sides):
+    _, many, _ = sides
+    assert HotKeys(many.filter("id < 0"), "k", min_rows=0).keys == []
 
 
 def test_inner(sides):
@@ -60,8 +64,21 @@ def test_hot_key_rows_are_spread(sides):
 
 def test_no_key_is_hot_by_default(sides):
     left, many, _ = sides
-    assert HotKeys(many, "k")._keys().count() == 0
-    assert rows(HotKeys(many, "k").left(left, many, "id"), "k", "m") == rows(left.join(many, "k", "left"), "k", "m")
+    plain = HotKeys(many, "k")
+    assert plain.keys == []
+    assert rows(plain.left(left, many, "id"), "k", "m") == rows(left.join(many, "k", "left"), "k", "m")
+    assert "_salt" not in plain.left(left, many, "id")._jdf.queryExecution().toString()
+    assert "_salt" not in plain.lookup(many, left, "id")._jdf.queryExecution().toString()
+
+
+def test_only_missing_keys_are_hot(sides):
+    _, many, lookup = sides
+    some = many.filter("k IS NULL OR k > 2")
+    spread = HotKeys(some, "k", min_rows=9, salts=4)
+    assert spread.keys == []
+    got = spread.lookup(some, lookup, "id")
+    assert "_salt" in got._jdf.queryExecution().toString()
+    assert rows(got, "k", "m", "u") == rows(some.join(lookup, "k", "left"), "k", "m", "u")
 
 
 def test_first_per_key_is_limited_before_the_shuffle(spark, sides):
