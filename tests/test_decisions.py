@@ -8,7 +8,7 @@ from claimsift.schemas import LIVE_CASES
 from tests.frames import SETTINGS, frame, live
 
 PROFILE = "customer_id long, risk_tier string, refund_rate double, refunds_90d long, coordinated_timing_flag boolean, " \
-          "household_refund_count_30d long, household_id string"
+          "household_refund_count_30d long, household_id string, shared_address_flag boolean"
 
 
 @pytest.fixture(scope="module")
@@ -27,8 +27,8 @@ def asked(spark):
              reason_code="UNAUTHORIZED_PURCHASE", risk_score=0.3, recommended_action="APPROVE"),
     )
     profiles = spark.createDataFrame(
-        [(1, "MEDIUM", 0.25, 5, False, 1, "H1"), (2, "LOW", 0.1, 1, False, 0, "H9"),
-         (2, "CRITICAL", 0.405, 11, True, 3, "H2")], PROFILE)
+        [(1, "MEDIUM", 0.25, 5, False, 1, "H1", True), (2, "LOW", 0.1, 1, False, 0, "H9", True),
+         (2, "CRITICAL", 0.405, 11, True, 3, "H2", None)], PROFILE)
     ids = spark.createDataFrame([(r,) for r in ("calm", "loud", "bare", "late")], "refund_id string")
     return queue.case_detail(cases, profiles, ids, min_rows=2, salts=2)
 
