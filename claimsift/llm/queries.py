@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimsift.llm import jaccard, sql
+from claimsift.llm import jaccard, sql, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +17,13 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op3_ngram_jaccard_join,)}
-SQL = {"op3_ngram_jaccard_join": sql.OP3}
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substrings.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {q.__name__: q for q in (op3_ngram_jaccard_join, op7_substring_dedup)}
+SQL = {"op3_ngram_jaccard_join": sql.OP3, "op7_substring_dedup": sql.OP7}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -28,3 +28,21 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, c.component_id
 FROM documents d LEFT JOIN sizes USING (doc_id)
 JOIN (SELECT doc_id, min(r) AS component_id FROM reached GROUP BY ALL) c ON c.doc_id = d.doc_id
 """
+
+OP7 = f"""
+WITH split AS (SELECT doc_id, {WORDS.format("text")} AS w FROM documents),
+windows AS (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY array_to_string(w[i:i + 19], ' ') ORDER BY doc_id, i) AS r
+    FROM split, unnest(range(1, len(w) - 18)) AS t(i)
+),
+gone AS (SELECT DISTINCT doc_id, p FROM windows, unnest(range(i, i + 20)) AS t(p) WHERE r > 1),
+lost AS (SELECT doc_id, count(*) AS n, list(p) AS ps FROM gone GROUP BY ALL),
+kept AS (
+    SELECT doc_id, string_agg(w[i], ' ' ORDER BY i) AS k
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM split SEMI JOIN lost USING (doc_id)) AS each
+    ANTI JOIN gone ON gone.doc_id = each.doc_id AND p = i GROUP BY ALL
+)
+SELECT s.doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0) AS n_removed,
+    sha256(CASE WHEN n IS NULL THEN array_to_string(w, ' ') ELSE coalesce(k, '') END) AS kept_sha256
+FROM split s LEFT JOIN lost l ON l.doc_id = s.doc_id LEFT JOIN kept ON kept.doc_id = s.doc_id
+"""
