@@ -14,6 +14,8 @@ import claimsift
 from claimsift.session import shared_folder, tune
 
 U64 = np.uint64
+#: Texts differ in length a hundred-thousandfold, so batches for Python are cut by size.
+BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
 _shipped: set[str] = set()
 _codec = pa.Codec("zstd", compression_level=1)
 
@@ -42,6 +44,8 @@ def ready(spark: SparkSession) -> SparkSession:
                 z.write(file, file.relative_to(package.parent))
         spark.sparkContext.addPyFile(str(archive))
         _shipped.add(app)
+    if spark.conf.get(BATCH[0], None) != BATCH[1]:
+        spark.conf.set(*BATCH)
     return tune(spark)
 
 

@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimsift.llm import jaccard, sql, substrings
+from claimsift.llm import jaccard, mixing, sql, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_sources(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -22,8 +27,8 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {q.__name__: q for q in (op3_ngram_jaccard_join, op7_substring_dedup)}
-SQL = {"op3_ngram_jaccard_join": sql.OP3, "op7_substring_dedup": sql.OP7}
+QUERIES = {q.__name__: q for q in (op1_mix_sources, op3_ngram_jaccard_join, op7_substring_dedup)}
+SQL = {"op1_mix_sources": sql.OP1, "op3_ngram_jaccard_join": sql.OP3, "op7_substring_dedup": sql.OP7}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -46,3 +46,44 @@ SELECT s.doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0) AS n_removed,
     sha256(CASE WHEN n IS NULL THEN array_to_string(w, ' ') ELSE coalesce(k, '') END) AS kept_sha256
 FROM split s LEFT JOIN lost l ON l.doc_id = s.doc_id LEFT JOIN kept ON kept.doc_id = s.doc_id
 """
+
+OP1 = f"""
+WITH sized AS (
+    SELECT doc_id, source, len({WORDS.format("text")})::BIGINT AS size, md5('7:' || coalesce(doc_id::VARCHAR, '')) AS h
+    FROM documents
+),
+sources AS (
+    SELECT source, sum(size)::BIGINT AS source_size,
+        [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight,
+        row_number() OVER (ORDER BY source NULLS LAST) AS place
+    FROM sized GROUP BY source
+),
+levels AS (
+    SELECT *, 2.0::DOUBLE * source_size AS most,
+        coalesce(sum(2.0::DOUBLE * source_size) OVER b, 0) AS filled, coalesce(sum(weight) OVER b, 0) AS used
+    FROM sources
+    WINDOW b AS (ORDER BY 2.0::DOUBLE * source_size / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+level AS (
+    SELECT max((1.5::DOUBLE * (SELECT sum(source_size) FROM sources) - filled)
+        / ((SELECT sum(weight) FROM sources) - used)::DOUBLE) AS v
+    FROM levels
+),
+queued AS (
+    SELECT doc_id, size, source_size, weight, place, h,
+        least(most, (SELECT v FROM level) * weight) AS target,
+        row_number() OVER (ORDER BY place, h, doc_id, size) AS position,
+        sum(size) OVER (PARTITION BY place ORDER BY h, doc_id, size ROWS UNBOUNDED PRECEDING) AS so_far
+    FROM sized JOIN levels ON sized.source IS NOT DISTINCT FROM levels.source
+),
+copies AS (
+    SELECT position, size, sum(size) OVER (
+        ORDER BY (so_far + (c - 1) * source_size)::DOUBLE / weight, place, position, c ROWS UNBOUNDED PRECEDING) AS total
+    FROM queued, unnest([1, 2]) AS t(c)
+),
+mixed AS (
+    SELECT position, sum(size)::BIGINT AS taken FROM copies
+    WHERE total <= 1.5::DOUBLE * (SELECT sum(source_size) FROM sources) GROUP BY ALL
+)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken FROM queued LEFT JOIN mixed USING (position)
+"""
