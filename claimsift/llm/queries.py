@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimsift.llm import jaccard, mixing, sql, substrings
+from claimsift.llm import jaccard, language, mixing, sql, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,12 +22,17 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = substrings.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {q.__name__: q for q in (op1_mix_sources, op3_ngram_jaccard_join, op7_substring_dedup)}
+QUERIES = {q.__name__: q for q in (op1_mix_sources, op3_ngram_jaccard_join, op4_language_id, op7_substring_dedup)}
 SQL = {"op1_mix_sources": sql.OP1, "op3_ngram_jaccard_join": sql.OP3, "op7_substring_dedup": sql.OP7}
 
 
