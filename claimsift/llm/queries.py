@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimsift.llm import jaccard, language, mixing, sql, substrings
+from claimsift.llm import jaccard, language, mixing, packing, sql, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,7 +32,19 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {q.__name__: q for q in (op1_mix_sources, op3_ngram_jaccard_join, op4_language_id, op7_substring_dedup)}
+def op9_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences as they are written, the id rows by their checksums."""
+    packed = packing.pack_decreasing(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_bounded(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+QUERIES = {q.__name__: q for q in (op1_mix_sources, op3_ngram_jaccard_join, op4_language_id, op7_substring_dedup, op9_token_matrices,
+                                  op10_best_fit_packing)}
 SQL = {"op1_mix_sources": sql.OP1, "op3_ngram_jaccard_join": sql.OP3, "op7_substring_dedup": sql.OP7}
 
 
