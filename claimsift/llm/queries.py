@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimsift.llm import jaccard, language, mixing, packing, sql, substrings
+from claimsift.llm import jaccard, language, mixing, packing, sharding, sql, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op6_shard_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(_table(spark, sf_dir, "documents"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = substrings.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -43,9 +47,12 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
-QUERIES = {q.__name__: q for q in (op1_mix_sources, op3_ngram_jaccard_join, op4_language_id, op7_substring_dedup, op9_token_matrices,
+QUERIES = {q.__name__: q for q in (op1_mix_sources, op3_ngram_jaccard_join, op4_language_id, op6_shard_assignment, op7_substring_dedup, op9_token_matrices,
                                   op10_best_fit_packing)}
-SQL = {"op1_mix_sources": sql.OP1, "op3_ngram_jaccard_join": sql.OP3, "op7_substring_dedup": sql.OP7}
+SQL = {
+    "op1_mix_sources": sql.OP1, "op3_ngram_jaccard_join": sql.OP3, "op6_shard_assignment": sql.OP6,
+    "op7_substring_dedup": sql.OP7,
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

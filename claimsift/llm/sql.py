@@ -87,3 +87,37 @@ mixed AS (
 )
 SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken FROM queued LEFT JOIN mixed USING (position)
 """
+
+#: Each row walks through its jumps; a step never leaves 128 bits.
+OP6 = """
+WITH RECURSIVE keyed AS (
+    SELECT row_number() OVER () AS r, doc_id, (octet_length(encode(coalesce(text, ''))) + 1)::BIGINT AS size,
+        coalesce(text, '') AS t, ('0x' || md5(coalesce(doc_id::VARCHAR, ''))[1:16])::UBIGINT::HUGEINT AS key
+    FROM documents
+),
+walk AS (
+    SELECT r, n, key AS state, 0::BIGINT AS shard, 0::BIGINT AS after FROM keyed, unnest([8, 9]) AS t(n)
+    UNION ALL
+    SELECT r, n, s, after,
+        floor((after + 1) * (2147483648::DOUBLE / (((s >> 33)::DOUBLE) + 1)))::BIGINT
+    FROM (SELECT r, n, after, (state * 2862933555777941757 + 1) % 18446744073709551616::HUGEINT AS s
+          FROM walk WHERE after < n)
+),
+found AS (SELECT r, n, max(shard)::INTEGER AS shard FROM walk GROUP BY ALL),
+bits AS (
+    SELECT i, list_reduce(list_prepend(i::BIGINT, range(8)),
+        lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS v
+    FROM range(256) AS t(i)
+),
+bytes AS (
+    SELECT r, list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda b: ('0x' || b)::BIGINT) AS b FROM keyed
+),
+summed AS (
+    SELECT r, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, b),
+        lambda x, y: xor(x >> 8, c[(xor(x, y) & 255) + 1]))) AS text_crc32
+    FROM bytes, (SELECT list(v ORDER BY i) AS c FROM bits)
+)
+SELECT doc_id, size, 'key' AS law, text_crc32, a.shard, b.shard AS grown_shard,
+    row_number() OVER (PARTITION BY a.shard ORDER BY doc_id) - 1 AS slot
+FROM keyed JOIN summed USING (r) JOIN found a ON a.r = keyed.r AND a.n = 8 JOIN found b ON b.r = keyed.r AND b.n = 9
+"""

@@ -20,7 +20,7 @@ import pyarrow as pa
 from claimsift.llm.words import Chunk, U64, flat_ranges
 
 #: White space to the pre-tokeniser beyond the six ASCII characters that separate words here.
-OTHER_SPACE = re.compile("[\x1c-\x1f\u0085   -     　]")
+OTHER_SPACE = re.compile("[\x1c-\x1f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 NEWLINE_FIRST = U64(0xA0761D6478BD642F)
 
 
