@@ -55,12 +55,19 @@ def pack(*arrays: np.ndarray) -> bytes:
     for a in arrays:
         planes = np.ascontiguousarray(a).astype(U64, copy=False).view(np.uint8).reshape(-1, 8).T
         raw.append(np.ascontiguousarray(planes).tobytes())
-    body = b"".join(raw)
+    return squeeze(b"".join(raw))
+
+
+def squeeze(body: bytes) -> bytes:
     return len(body).to_bytes(8, "little") + _codec.compress(body, asbytes=True)
 
 
+def expand(packed: bytes) -> bytes:
+    return _codec.decompress(packed[8:], int.from_bytes(packed[:8], "little"), asbytes=True)
+
+
 def unpack(packed: bytes) -> list[np.ndarray]:
-    body = _codec.decompress(packed[8:], int.from_bytes(packed[:8], "little"), asbytes=True)
+    body = expand(packed)
     count = int(np.frombuffer(body, np.int64, 1)[0])
     lengths = np.frombuffer(body, np.int64, count, 8)
     out, at = [], 8 * (1 + count)

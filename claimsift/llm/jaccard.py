@@ -11,7 +11,7 @@ keeps all links between classes without ever comparing all pairs of a group:
    entries out of reach are skipped by the block.
 3. *Hubs.* A long list pairs each member only with its hub, the member whose shingles are the most common. The overlaps
    with the hub bound the overlap of any two members from both sides: |x&y| >= |x&h| + |y&h| - |h| and
-   |x&y| <= min(|x&h|, |y&h|) + min(|x|-|x&h|, |y|-|y&h|). So the answers of a set follow from those of the hub
+   |x&y| <= min(|x&h|, |y&h|) + min(|x'|-|x&h|, |y'|-|y&h|), where x' is what x shares with any class. So the answers of a set follow from those of the hub
    it resembles; only pairs that the bounds leave open, and that links do not already connect, are computed.
 """
 
@@ -249,6 +249,9 @@ def _paired(percent: int):
     return run
 
 
+PAIR = ("a", "b", "hub", "a_size", "b_size", "a_held", "b_held")
+
+
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         known, left = None, None
@@ -261,17 +264,17 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = np.searchsorted(left, right)
             shared.append(int((left[np.minimum(at, len(left) - 1)] == right).sum()))
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in ("a", "b", "hub", "a_size", "b_size")), pa.array(shared, pa.int64())],
-            ["a", "b", "hub", "a_size", "b_size", "shared"])
+            [*(batch.column(c) for c in PAIR), pa.array(shared, pa.int64())], [*PAIR, "shared"])
 
 
 def _computed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``a, b, hub, a_size, b_size, shared`` of pairs of classes."""
+    """The columns :data:`PAIR` and ``shared`` of pairs of classes; ``held`` counts shingles that other classes have."""
     def side(s: str) -> DataFrame:
-        return sets.select(F.col("print").alias(s), F.col("size").alias(f"{s}_size"), F.col("tokens").alias(f"{s}_tokens"))
+        return sets.select(F.col("print").alias(s), F.col("size").alias(f"{s}_size"), F.col("tokens").alias(f"{s}_tokens"),
+                           F.expr("octet_length(tokens) div 8").alias(f"{s}_held"))
     joined = pairs.join(side("b"), "b").join(side("a"), "a")
-    return joined.select("a", "b", "hub", "a_size", "b_size", "a_tokens", "b_tokens").mapInArrow(
-        _overlaps, "a long, b long, hub boolean, a_size long, b_size long, shared long")
+    return joined.select(*PAIR, "a_tokens", "b_tokens").mapInArrow(
+        _overlaps, "a long, b long, hub boolean, a_size long, b_size long, a_held long, b_held long, shared long")
 
 
 def _linked(overlap: str, a_size: str, b_size: str, percent: int) -> F.Column:
@@ -288,7 +291,7 @@ def class_links(docs: DataFrame, text: str, k: int = 5, percent: int = 75) -> Da
     links = first.filter(_linked("shared", "a_size", "b_size", percent)).select("a", "b")
     spokes = first.filter("hub").select(
         F.col("a").alias("h"), F.col("b").alias("x"), F.col("a_size").alias("h_size"), F.col("b_size").alias("x_size"),
-        F.col("shared").alias("x_shared"))
+        F.col("b_held").alias("x_held"), F.col("shared").alias("x_shared"))
     if spokes.isEmpty():
         return links
     roots = connected_components(links, "a", "b")
@@ -297,10 +300,9 @@ def class_links(docs: DataFrame, text: str, k: int = 5, percent: int = 75) -> Da
         return frame.join(root, node, "left").withColumn(f"{node}_root", F.coalesce(f"{node}_root", node))
     spokes = staged(rooted(rooted(spokes, "x"), "h"), "spokes")
     apart = spokes.filter("x_root <> h_root").select(
-        "h", F.col("x").alias("y"), F.col("x_size").alias("y_size"), F.col("x_shared").alias("y_shared"),
-        F.col("x_root").alias("y_root"))
+        "h", *[F.col(f"x{c}").alias(f"y{c}") for c in ("", "_size", "_held", "_shared", "_root")])
     # What the hub's answers leave open between a member that it is not linked to and any other member.
-    most = "least(x_shared, y_shared) + least(x_size - x_shared, y_size - y_shared)"
+    most = "least(x_shared, y_shared) + least(x_held - x_shared, y_held - y_shared)"
     open_pairs = spokes.alias("s").join(
         apart.alias("t"),
         F.expr("s.h = t.h AND x_root <> y_root AND (x_root = h_root OR x < y)")

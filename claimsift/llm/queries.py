@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimsift.llm import jaccard, language, mixing, packing, sharding, sql, substrings
+from claimsift.llm import embeddings, jaccard, language, mixing, packing, sharding, sql, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_shard_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(_table(spark, sf_dir, "documents"))
 
@@ -47,10 +51,12 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
-QUERIES = {q.__name__: q for q in (op1_mix_sources, op3_ngram_jaccard_join, op4_language_id, op6_shard_assignment, op7_substring_dedup, op9_token_matrices,
+QUERIES = {q.__name__: q for q in (op1_mix_sources, op3_ngram_jaccard_join, op4_language_id, op5_embedding_near_dedup,
+                                  op6_shard_assignment, op7_substring_dedup, op9_token_matrices,
                                   op10_best_fit_packing)}
 SQL = {
-    "op1_mix_sources": sql.OP1, "op3_ngram_jaccard_join": sql.OP3, "op6_shard_assignment": sql.OP6,
+    "op1_mix_sources": sql.OP1, "op3_ngram_jaccard_join": sql.OP3, "op5_embedding_near_dedup": sql.OP5,
+    "op6_shard_assignment": sql.OP6,
     "op7_substring_dedup": sql.OP7,
 }
 

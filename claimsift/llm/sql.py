@@ -121,3 +121,24 @@ SELECT doc_id, size, 'key' AS law, text_crc32, a.shard, b.shard AS grown_shard,
     row_number() OVER (PARTITION BY a.shard ORDER BY doc_id) - 1 AS slot
 FROM keyed JOIN summed USING (r) JOIN found a ON a.r = keyed.r AND a.n = 8 JOIN found b ON b.r = keyed.r AND b.n = 9
 """
+
+OP5 = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, embedding::DOUBLE[] AS e,
+        embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS ok
+    FROM embeddings
+),
+links AS (
+    SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.ok AND b.ok AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.9
+),
+reached AS (
+    SELECT vec_id, vec_id AS r FROM v
+    UNION
+    SELECT links.x, reached.r FROM links JOIN reached ON reached.vec_id = links.y
+)
+SELECT v.vec_id, coalesce(n, 0) AS n_links, component_id, v.vec_id = component_id AS kept
+FROM v LEFT JOIN (SELECT x, count(*) AS n FROM links GROUP BY x) ON x = v.vec_id
+JOIN (SELECT vec_id, min(r) AS component_id FROM reached GROUP BY ALL) c ON c.vec_id = v.vec_id
+"""

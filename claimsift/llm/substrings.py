@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from claimsift.llm.common import U64, pack, parts, ready, signed, staged, unpack
+from claimsift.llm.common import U64, expand, pack, parts, ready, squeeze, staged, unpack
 from claimsift.llm.fmindex import FMIndex, joined_text, matching_windows
 from claimsift.llm.words import Chunk, chunks, flat_ranges, mix, sequence_hashes
 
@@ -30,6 +30,8 @@ KEY_BITS = 44
 HOT = 2_000
 LAST_ID = np.int64(2**63 - 1)
 CHUNK = 2_000_000
+#: Shards for each piece of other keyed work: an index takes many times the memory of its words.
+SHARDS = 3
 
 
 def _content(batch: pa.RecordBatch) -> bytes:
@@ -179,7 +181,7 @@ def _parcels(number: int, doc_ids: np.ndarray, pieces: Pieces, key: np.ndarray,
         a = at[cuts[r]:cuts[r + 1]]
         words = b" ".join(pieces.bytes_of(s, n + pieces.window - 1) for s, n in zip(start[a].tolist(), count[a].tolist()))
         packed = pack(start[a].astype(U64), count[a].astype(U64), doc_ids[doc[a]].view(U64), word[a].astype(U64))
-        yield r, number, kind, packed, words
+        yield r, number, kind, packed, squeeze(words)
 
 
 def _ids(batch: pa.RecordBatch, name: str) -> np.ndarray:
@@ -244,8 +246,11 @@ def _searched(window: int):
     def run(table: pa.Table) -> pa.Table:
         """Of one shard: the earliest place of every window, for each chunk."""
         received = [unpack(x) for x in table["packed"].to_pylist()]
-        (chunk,) = chunks(pa.array([b" ".join(table["words"].to_pylist())], pa.large_binary()).cast(pa.large_string()), 2**62)
-        symbol = np.unique(chunk.hashes(), return_inverse=True)[1].astype(np.int64) + 1
+        hashes = []
+        for words in table["words"].to_pylist():
+            (chunk,) = chunks(pa.array([expand(words)], pa.binary()).cast(pa.string()), 2**62)
+            hashes.append(chunk.hashes())
+        symbol = np.unique(np.concatenate(hashes), return_inverse=True)[1].astype(np.int64) + 1
         start, count, doc, word = (np.concatenate([x[i] for x in received]).astype(np.int64) for i in range(4))
         length = count + window - 1
         begin = np.cumsum(length) - length
@@ -360,7 +365,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     spark = ready(docs.sparkSession)
     docs = docs.drop("n_words", "n_removed", "kept")
-    ranges = parts(spark)
+    ranges = SHARDS * parts(spark)
     chunked = staged(_chunked(docs, text, window), "chunks")
     content = chunked.select("chunk", "content").groupBy("chunk")
 
