@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimsift.llm import embeddings, jaccard, language, mixing, packing, sharding, sql, substrings
+import corpus_pipeline
+from claimsift.llm import (
+    embeddings, jaccard, language, licenses, mixing, packing, rules, sharding, sql, substrings,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +21,14 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents have no paths; here each is a file below its source and its thousand of ids."""
+    path = F.concat_ws("/", F.coalesce("source", F.lit("_")), F.expr("doc_id div 1000"), F.col("doc_id"))
+    found = licenses.scan_licenses(_table(spark, sf_dir, "documents").select(path.alias("path"), "text"))
+    doc_id = F.substring_index("path", "/", -1).cast("long")
+    return found.select(doc_id.alias("doc_id"), "license", "score", "origin", "license_directory")
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -40,6 +51,12 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged, _ = rules.apply_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                         "kept", "rule")
+
+
 def op9_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequences as they are written, the id rows by their checksums."""
     packed = packing.pack_decreasing(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -51,9 +68,13 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
-QUERIES = {q.__name__: q for q in (op1_mix_sources, op3_ngram_jaccard_join, op4_language_id, op5_embedding_near_dedup,
-                                  op6_shard_assignment, op7_substring_dedup, op9_token_matrices,
-                                  op10_best_fit_packing)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {q.__name__: q for q in (
+    op1_mix_sources, op2_license_scan, op3_ngram_jaccard_join, op4_language_id, op5_embedding_near_dedup,
+    op6_shard_assignment, op7_substring_dedup, op8_quality_rules, op9_token_matrices, op10_best_fit_packing, pipeline)}
 SQL = {
     "op1_mix_sources": sql.OP1, "op3_ngram_jaccard_join": sql.OP3, "op5_embedding_near_dedup": sql.OP5,
     "op6_shard_assignment": sql.OP6,
