@@ -12,49 +12,61 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from claimsift.llm import jaccard, language, mixing, packing, substrings
 from claimsift.llm.common import ready, staged
 
+#: Columns that operators add to those of their input.
+ADDED = {"held_out", "lang_pred", "score", "spans", "n_words", "n_removed", "kept"}
 #: Least share of a text's words that its language must have; texts below are in no one language.
 LEAST_SHARE = 0.5
 
 
+def _aside(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with other names for columns that an operator would replace, and their names by column."""
+    names = {c: c for c in docs.columns}
+    for c in ADDED & names.keys():
+        while names[c] in docs.columns or names[c] in ADDED:
+            names[c] += "_"
+    return docs.withColumnsRenamed(names), names
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without any letter and texts of which no language has half of the words."""
-    found = language.identify(docs)
+    mine, names = _aside(docs)
     clear = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE)
-    return found.filter(clear).select(*docs.columns)
+    return language.identify(mine).filter(clear).select(*[F.col(new).alias(c) for c, new in names.items()])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of near copies, once if its row repeats. Rows without an id
     stay where no document with an id has their text or a near copy of it; of equal ones, one does."""
     members = jaccard.near_duplicates(docs)
-    stays = members.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(stays, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    stays = members.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    kept = docs.alias("d").join(stays.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")), "left_semi")
     return kept.dropDuplicates(["doc_id", "text"])
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts words that a repeated window of 20 words covers. Texts that lose nothing stay as they were; a document that
     loses all its words goes."""
-    cut = substrings.remove_repeats(docs)
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
-    left = cut.filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
-    changed = {"text": text}
+    mine, names = _aside(docs)
+    cut = substrings.remove_repeats(mine)
+    lost = F.col("n_removed") > 0
+    changed = {"text": F.when(lost, F.col("kept")).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("n_removed") > 0, F.length("kept").cast(docs.schema["n_chars"].dataType)).otherwise(
-            F.col("n_chars"))
-    return left.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])
+        changed["n_chars"] = F.when(lost, F.length("kept").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    left = cut.filter(~lost | (F.col("n_removed") < F.col("n_words")))
+    return left.select(*[changed.get(c, F.col(new)).alias(c) for c, new in names.items()])
 
 
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats each document as often as the mix of the sources takes it, which may be never."""
     mixed = mixing.mix_sources(docs).filter("copies > 0")
     # Rows alike in id, source and size have one place in the mix's result.
-    taken = mixed.groupBy(*[F.col(c).alias(f"_{c}") for c in ("doc_id", "source", "size")]).agg(
-        F.max("copies").alias("_copies"))
-    same = (F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source"))
-            & (mixing.word_count("text") == F.col("_size")))
-    return docs.join(taken, same).select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).drop(
-        "_copy")
+    taken = mixed.groupBy("doc_id", "source", "size").agg(F.max("copies").alias("copies"))
+    same = (F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")) & F.col("d.source").eqNullSafe(F.col("t.source"))
+            & (mixing.word_count("d.text") == F.col("t.size")))
+    joined = docs.alias("d").join(taken.alias("t"), same)
+    repeats = F.sequence(F.lit(1), F.col("t.copies"))
+    row = F.struct(*[F.col(f"d.`{c}`").alias(c) for c in docs.columns])
+    return joined.select(F.explode(F.transform(repeats, lambda _: row)).alias("row")).select("row.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
