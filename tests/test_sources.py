@@ -145,3 +145,14 @@ def test_windows_follow_the_as_of_date(spark, built):
     later = Settings(as_of=dt.date(2030, 1, 1))
     past = TABLES["customer_refund_history"].build(built.table("refund_requests"), later)
     assert past.agg(F.sum("refunds_90d")).first()[0] == 0
+
+
+def test_columns_are_bound_by_header(spark, tmp_path):
+    file = tmp_path / "household_mappings.csv"
+    names = SOURCES["household_mappings"].fieldNames()
+    file.write_text(",".join(["extra", *reversed(names)]) + "\n" + ",".join(["z"] * (len(names) + 1)) + "\n")
+    df = read_source(spark, str(file), "household_mappings")
+    assert df.columns == names and df.count() == 1
+    file.write_text(",".join(names[1:]) + "\n")
+    with pytest.raises(ValueError, match=names[0]):
+        read_source(spark, str(file), "household_mappings")
