@@ -1,8 +1,10 @@
 """Numbers that come out the same whatever the order of the rows.
 
 Money and scores are stored as doubles, but sums of doubles depend on the order in which partitions arrive. Sums
-therefore run on whole cents and whole thousandths as long integers, which is also twice as fast as wide decimals; an
-overflow raises. Rounding works on a decimal so that ties are decided exactly.
+therefore run on whole cents and whole thousandths as long integers, which is also twice as fast as wide decimals. Each
+amount is rounded to whole cents before it is summed, so fractions of a cent count as the nearest cent. Amounts that a
+sum cannot hold are dropped and counted by a quality rule. Rounding works on a decimal so that ties are decided exactly;
+values too large for it, NaN and infinities are rounded as doubles.
 """
 
 from __future__ import annotations
@@ -19,7 +21,8 @@ def _col(value: Column | str) -> Column:
 
 
 def round_to(value: Column | str, digits: int) -> Column:
-    return F.round(_col(value).cast(EXACT), digits).cast("double")
+    exact = F.round(_col(value).try_cast(EXACT), digits).cast("double")
+    return F.coalesce(exact, F.round(_col(value).cast("double"), digits))
 
 
 def whole(value: Column | str, units: int = MONEY) -> Column:

@@ -173,7 +173,7 @@ def decide(
     Replies are joined while the cases are still partitioned by claim, before the profiles move them to their customer.
     """
     found = with_replies(requested_cases(cases, ids), replies)
-    detail = with_profile(found, cases, profiles, ids, **hot)
+    detail = with_profile(found, cases, profiles, **hot)
     steps = with_risk(with_policy(with_validation(detail), settings))
     return with_recommendation(steps).select(
         "refund_id", "validation", "policy", "risk", "recommendation")

@@ -1,19 +1,19 @@
 """Claim activity per household and detection of members claiming within two days of each other.
 
-A household's claims are looked at in the order (request_date, customer_id, refund_id), and a claim counts as
-coordinated if the claim just before it came from another member at most 48 hours earlier. With this order only three
-facts per household and day matter: how many members claimed, the first of them and the last. So no window ever holds
-the single claims of a household: they are aggregated per customer, then per household and day, and the window runs
-over one row per day. A household or customer with a third of all claims is reduced before each shuffle like any other.
+A household's claims are looked at in the order (request_date, refund_id), and a claim counts as coordinated if the claim
+just before it came from another member at most 48 hours earlier. Claims of one day are compared in a window over that
+household and day, which is the largest group any task sorts; what lies between days follows from the first and the last
+claimant of each, in a window over one row per day. Totals, reason codes and members come from claims already reduced per
+customer, through sums and distinct rows only, so a household or customer with a third of all claims is combined before
+each shuffle; the joins on customers are left to adaptive skew splitting.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from claimsift.functions.numeric import MONEY, count_where, whole
 from claimsift.operators.history import within_last
-from claimsift.operators.keyed import HotKeys
 from claimsift.settings import Settings
 
 
@@ -22,38 +22,19 @@ def _members(households: DataFrame) -> DataFrame:
     return households.groupBy("household_id", "customer_id").agg(F.count(F.lit(1)).alias("listed"))
 
 
-def household_days(requests: DataFrame, households: DataFrame, settings: Settings, **hot: int) -> DataFrame:
-    """One row per household and day with claims.
-
-    A customer's totals travel on the row of their first day only, so summing over the days of a household counts each
-    member once.
-    """
-    dated = requests.withColumn("request_date", F.col("request_date").cast("date"))
-    per_customer = dated.groupBy("customer_id").agg(
-        F.count("refund_id").alias("total_refunds"),
-        count_where(within_last(settings.short_window_days, settings)).alias("refunds_30d"),
-        F.sum(whole("amount")).alias("amount"),
-        F.sort_array(F.collect_set("reason_code")).alias("reason_codes"),
-        F.collect_set("request_date").alias("days"),
-    )
-    hot_customers = HotKeys(households, "customer_id", **hot)
-    member_days = hot_customers.inner(per_customer, _members(households), "household_id").select(
-        "*", F.posexplode_outer("days").alias("day_no", "request_date"),
-    )
-    carrier = F.coalesce(F.col("day_no") == 0, F.lit(True))
-
-    def carried(value: Column) -> Column:
-        return F.when(carrier, value)
-
-    return member_days.groupBy("household_id", "request_date").agg(
-        count_where(carrier).alias("members"),
-        F.sum(carried(F.col("total_refunds") * F.col("listed"))).alias("total_refunds"),
-        F.sum(carried(F.col("refunds_30d") * F.col("listed"))).alias("refunds_30d"),
-        F.sum(carried(F.col("amount") * F.col("listed"))).alias("amount"),
-        F.array_distinct(F.flatten(F.collect_set(carried(F.col("reason_codes"))))).alias("reason_codes"),
-        F.count(F.lit(1)).alias("day_members"),
-        F.min("customer_id").alias("first_customer"),
-        F.max("customer_id").alias("last_customer"),
+def household_days(requests: DataFrame, households: DataFrame) -> DataFrame:
+    """One row per household and day with claims: how often the claimant changes from claim to claim within the day, and
+    the first and the last of them."""
+    dated = requests.select("refund_id", "customer_id", F.col("request_date").cast("date").alias("request_date"))
+    claims = dated.join(_members(households).drop("listed"), "customer_id")
+    within = Window.partitionBy("household_id", "request_date").orderBy("refund_id", "customer_id")
+    changed = F.coalesce(F.col("customer_id") != F.lag("customer_id").over(within), F.lit(False))
+    place = F.struct("refund_id", "customer_id")
+    return claims.withColumn("changed", changed).groupBy("household_id", "request_date").agg(
+        count_where(F.col("changed")).alias("changes"),
+        F.count_distinct("customer_id").alias("day_members"),
+        F.min_by("customer_id", place).alias("first_customer"),
+        F.max_by("customer_id", place).alias("last_customer"),
     )
 
 
@@ -68,7 +49,7 @@ def household_day_sequence(days: DataFrame, settings: Settings) -> DataFrame:
         (F.col("hours_between") <= settings.coordination_hours) & (F.col("first_customer") != F.col("prev_customer")),
         F.lit(False),
     )
-    same_day = F.when(F.col("request_date").isNotNull(), F.col("day_members") - 1).otherwise(F.lit(0))
+    same_day = F.when(F.col("request_date").isNotNull(), F.col("changes")).otherwise(F.lit(0))
     return (
         days
         .withColumn("prev_date", F.lag("request_date").over(in_order))
@@ -85,15 +66,30 @@ def household_coordination(sequence: DataFrame) -> DataFrame:
     ).withColumn("coordinated_timing_flag", F.col("coordinated_refund_count") > 0)
 
 
-def household_activity(requests: DataFrame, households: DataFrame, settings: Settings, **hot: int) -> DataFrame:
-    """Activity and coordination of each household with a claim, from one pass over the claims."""
-    sequence = household_day_sequence(household_days(requests, households, settings, **hot), settings)
-    codes = F.sort_array(F.array_distinct(F.flatten(F.collect_set("reason_codes"))))
-    return sequence.groupBy("household_id").agg(
-        F.sum("members").cast("long").alias("household_members_with_refunds"),
-        F.sum("total_refunds").cast("long").alias("household_total_refunds"),
-        F.sum("refunds_30d").cast("long").alias("household_refund_count_30d"),
-        (F.sum("amount") / F.lit(float(MONEY))).alias("household_total_refund_amount"),
-        F.array_join(codes, ", ").alias("household_reason_codes"),
-        F.sum("coordinated").alias("coordinated_refund_count"),
-    ).withColumn("coordinated_timing_flag", F.col("coordinated_refund_count") > 0)
+def household_totals(requests: DataFrame, households: DataFrame, settings: Settings) -> DataFrame:
+    """Claims, amounts, reason codes and claiming members of each household; a membership listed twice counts its claims
+    twice and its member once."""
+    members = _members(households)
+    per_code = requests.withColumn("request_date", F.col("request_date").cast("date")).groupBy(
+        "customer_id", "reason_code").agg(
+        F.count("refund_id").alias("claims"),
+        count_where(within_last(settings.short_window_days, settings)).alias("recent"),
+        F.sum(whole("amount")).alias("cents"),
+    )
+    by_code = per_code.join(members, "customer_id").groupBy("household_id", "reason_code").agg(
+        *[F.sum(F.col(c) * F.col("listed")).alias(c) for c in ("claims", "recent", "cents")])
+    totals = by_code.groupBy("household_id").agg(
+        F.sum("claims").cast("long").alias("household_total_refunds"),
+        F.sum("recent").cast("long").alias("household_refund_count_30d"),
+        (F.sum("cents") / F.lit(float(MONEY))).alias("household_total_refund_amount"),
+        F.array_join(F.sort_array(F.collect_set("reason_code")), ", ").alias("household_reason_codes"),
+    )
+    claimants = requests.select("customer_id").distinct().join(members, "customer_id").groupBy("household_id").agg(
+        F.count(F.lit(1)).alias("household_members_with_refunds"))
+    return claimants.join(totals, "household_id")
+
+
+def household_activity(requests: DataFrame, households: DataFrame, settings: Settings) -> DataFrame:
+    """Activity and coordination of each household with a claim."""
+    sequence = household_day_sequence(household_days(requests, households), settings)
+    return household_totals(requests, households, settings).join(household_coordination(sequence), "household_id")

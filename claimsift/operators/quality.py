@@ -8,11 +8,13 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from claimsift.functions.numeric import count_where
 
-# Rule name -> predicate, per table.
+# Rule name -> predicate, per table; but for countable_amount, which also drops (and counts) NaN, infinite
+# and absurd amounts: exact sums cannot hold them, and NaN is greater than any number.
 EXPECTATIONS: dict[str, dict[str, str]] = {
     "refund_requests": {
         "valid_refund_id": "refund_id IS NOT NULL",
         "valid_amount": "amount IS NOT NULL AND amount > 0",
+        "countable_amount": "amount IS NULL OR amount < 1e9",
     },
     "order_history": {"valid_order_id": "order_id IS NOT NULL"},
     "customer_profiles": {"valid_customer_id": "customer_id IS NOT NULL"},
@@ -42,7 +44,7 @@ def apply_expectations(df: DataFrame, rules: dict[str, str], observation: Observ
     if observation is not None:
         counts = [count_where(~_holds(rule)).alias(name) for name, rule in rules.items()]
         df = df.observe(observation, F.count(F.lit(1)).alias("rows"), *counts)
-    return df.filter(reduce(lambda a, b: a & b, [F.expr(rule) for rule in rules.values()]))
+    return reduce(lambda kept, rule: kept.filter(rule), rules.values(), df)
 
 
 def expectation_report(tables: dict[str, DataFrame]) -> DataFrame:

@@ -78,14 +78,12 @@ def missing_cases(cases: DataFrame, ids: DataFrame) -> DataFrame:
 
 def case_detail(cases: DataFrame, profiles: DataFrame, ids: DataFrame, **hot: int) -> DataFrame:
     """Requested cases with the profile of their customer as the struct ``customer_360`` (NULL if there is none)."""
-    return with_profile(requested_cases(cases, ids), cases, profiles, ids, **hot)
+    return with_profile(requested_cases(cases, ids), cases, profiles, **hot)
 
 
-def with_profile(
-    found: DataFrame, cases: DataFrame, profiles: DataFrame, ids: DataFrame, **hot: int,
-) -> DataFrame:
-    """Adds ``customer_360`` to ``found``, the cases of ``cases`` requested with ``ids``."""
-    customers = _asked_for(cases, ids).select("customer_id").distinct()
+def with_profile(found: DataFrame, cases: DataFrame, profiles: DataFrame, **hot: int) -> DataFrame:
+    """Adds ``customer_360`` to ``found``, some cases of ``cases``."""
+    customers = found.select("customer_id").distinct()
     needed = profiles.join(customers, "customer_id", "left_semi")
     nested = one_row_per_customer(needed).select("customer_id", F.struct(*profiles.columns).alias("customer_360"))
     joined = HotKeys(cases, "customer_id", **hot).lookup(found, nested, "refund_id")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from claimsift.functions.bands import banded, score_tier, workflow_state
-from claimsift.operators.keyed import HotKeys, first_per_key
+from claimsift.operators.keyed import first_per_key
 from claimsift.schemas import FEEDBACK_LOG, LIVE_CASES
 from claimsift.settings import ACTIONS, FEEDBACK_TYPES
 
@@ -69,8 +69,11 @@ def state_after(action: Column) -> Column:
     return banded([(action == name, name) for name in ACTIONS], "pending_review")
 
 
-def apply_actions(live: DataFrame, actions: DataFrame, **hot: int) -> DataFrame:
-    """Lay the latest valid action of each claim over its cases (all of them, if it has several rows)."""
+def apply_actions(live: DataFrame, actions: DataFrame) -> DataFrame:
+    """Lay the latest valid action of each claim over its cases (all of them, if it has several rows).
+
+    A claim has one row per membership of its customer, so no claim is a hot key and the join is a plain one.
+    """
     latest = first_per_key(
         valid_rows(check_actions(actions)).select("refund_id", "action", "reason", "acted_at"), ["refund_id"],
         F.desc_nulls_last("acted_at"), F.desc("action"), F.desc("reason"),
@@ -81,7 +84,7 @@ def apply_actions(live: DataFrame, actions: DataFrame, **hot: int) -> DataFrame:
         "csr_reason": "reason",
         "csr_acted_at": "acted_at",
     }
-    joined = HotKeys(live, "refund_id", **hot).lookup(live, latest, "household_id").withColumn(
+    joined = live.join(latest, "refund_id", "left").withColumn(
         "workflow_state", F.when(acted, state_after(F.col("action"))).otherwise(F.col("workflow_state")))
     for target, source in overlay.items():
         joined = joined.withColumn(target, F.when(acted, F.col(source)).otherwise(F.col(target)))

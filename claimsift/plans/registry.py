@@ -96,7 +96,7 @@ def _bronze(name: str) -> Callable[[Data], DataFrame]:
 
 
 def _planned(name: str, *left_out: str) -> Callable[[Data], DataFrame]:
-    return lambda d: d.run.plan(name).drop(*left_out)
+    return lambda d: quality.apply_expectations(d.run.plan(name), quality.EXPECTATIONS.get(name, {})).drop(*left_out)
 
 
 def _csv_roundtrip(d: Data) -> DataFrame:
@@ -132,7 +132,7 @@ def _expectation_report(d: Data) -> DataFrame:
 
 
 def _household_sequence(d: Data) -> DataFrame:
-    days = household.household_days(d["refund_requests"], d["household_mappings"], SETTINGS)
+    days = household.household_days(d["refund_requests"], d["household_mappings"])
     return household.household_day_sequence(days, SETTINGS)
 
 

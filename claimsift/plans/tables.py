@@ -33,7 +33,7 @@ TABLES: dict[str, Table] = {
     "customer_refund_history": Table(("refund_requests",), history.customer_refund_history),
     "household_activity": Table(
         ("refund_requests", "household_mappings"),
-        lambda requests, members, s: household.household_activity(requests, members, s, **s.hot_keys)),
+        household.household_activity),
     "customer_360": Table(
         ("customer_profiles", "customer_refund_history", "household_mappings", "household_activity"),
         lambda customers, past, members, activity, s: profiles.customer_360(

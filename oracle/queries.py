@@ -30,6 +30,7 @@ WATCHED = "risk_tier IN ('HIGH', 'CRITICAL')"
 RULES = [
     ("refund_requests", "valid_refund_id", "refund_id IS NOT NULL"),
     ("refund_requests", "valid_amount", "amount IS NOT NULL AND amount > 0"),
+    ("refund_requests", "countable_amount", "amount IS NULL OR amount < 1e9"),
     ("order_history", "valid_order_id", "order_id IS NOT NULL"),
     ("customer_profiles", "valid_customer_id", "customer_id IS NOT NULL"),
     ("household_mappings", "valid_household_id", "household_id IS NOT NULL"),
@@ -85,7 +86,7 @@ QUERIES = {
         SELECT f.household_id, f.request_date, d.day_members, f.prev_date, f.prev_customer, f.hours_between,
                f.coord_flag, d.coordinated
         FROM (SELECT * FROM household_sequence
-              QUALIFY row_number() OVER (PARTITION BY household_id, request_date ORDER BY customer_id, refund_id) = 1) f
+              QUALIFY row_number() OVER (PARTITION BY household_id, request_date ORDER BY refund_id, customer_id) = 1) f
         JOIN (SELECT household_id, request_date, count(DISTINCT customer_id) AS day_members,
                      CAST(count(*) FILTER (WHERE coord_flag) AS BIGINT) AS coordinated
               FROM household_sequence GROUP BY household_id, request_date) d

@@ -104,7 +104,8 @@ TABLES = {
         LEFT JOIN customer_profiles c ON c.customer_id = r.customer_id
         LEFT JOIN product_catalog p ON p.product_id = o.product_id
         LEFT JOIN latest_delivery d ON d.order_id = r.order_id
-        LEFT JOIN refund_policies l ON l.category = p.category AND l.reason_code = r.reason_code""",
+        LEFT JOIN refund_policies l ON l.category = p.category AND l.reason_code = r.reason_code
+        WHERE r.refund_id IS NOT NULL AND r.customer_id IS NOT NULL""",
     "customer_refund_history": f"""
         SELECT *, CASE WHEN refunds_90d > 10 THEN 'very_high' WHEN refunds_90d > 5 THEN 'high'
                        WHEN refunds_90d > 2 THEN 'medium' ELSE 'low' END AS refund_frequency
@@ -122,7 +123,7 @@ TABLES = {
               FROM (SELECT household_id, request_date, customer_id, refund_id,
                            lag(request_date) OVER w AS prev_date, lag(customer_id) OVER w AS prev_customer
                     FROM household_requests
-                    WINDOW w AS (PARTITION BY household_id ORDER BY request_date, customer_id, refund_id)))""",
+                    WINDOW w AS (PARTITION BY household_id ORDER BY request_date, refund_id, customer_id)))""",
     "household_coordination": """
         SELECT *, coordinated_refund_count > 0 AS coordinated_timing_flag
         FROM (SELECT household_id, CAST(count(*) FILTER (WHERE coord_flag) AS BIGINT) AS coordinated_refund_count

@@ -144,6 +144,6 @@ def test_cases_of_hot_customers_are_split(skewed, small_partitions):
 
 
 def test_hot_households_give_the_same_activity(skewed, small_partitions):
-    spread = household.household_activity(skewed["requests"], skewed["members"], SETTINGS, min_rows=1_000, salts=8)
+    spread = household.household_activity(skewed["requests"], skewed["members"], SETTINGS)
     assert fingerprint(spread)[0] == fingerprint(skewed["activity"])[0]
     assert spread.count() == skewed["members"].select("household_id").distinct().count()

@@ -7,6 +7,7 @@ from claimsift.functions import bands
 from claimsift.functions.numeric import ratio, round_to
 from claimsift.operators import metrics, scoring
 from claimsift.operators.history import customer_refund_history
+from claimsift.operators.quality import EXPECTATIONS, apply_expectations, expectation_report
 from tests.frames import SETTINGS, day, source
 
 
@@ -20,6 +21,22 @@ def test_score_tier(spark):
     assert got == ["LOW", "MEDIUM", "MEDIUM", "HIGH", "HIGH", "CRITICAL", "LOW"]
 
 
+def test_rounding_takes_any_number(spark):
+    got = evaluate(spark, [0.0005, 2.0e9, 1e300, float("inf"), None], "double", lambda x: round_to(x, 3))
+    assert got == [0.001, 2.0e9, 1e300, float("inf"), None]
+    assert str(evaluate(spark, [float("nan")], "double", lambda x: round_to(x, 3))) == "[nan]"
+
+
+def test_amounts_that_sums_cannot_hold_are_dropped_and_counted(spark):
+    amounts = [5.0, None, 0.0, -1.0, float("nan"), float("inf"), 1e20]
+    requests = source(spark, "refund_requests", *[
+        dict(refund_id=f"R{i}", customer_id=1, amount=a, request_date=day(1)) for i, a in enumerate(amounts)])
+    kept = apply_expectations(requests, EXPECTATIONS["refund_requests"])
+    assert customer_refund_history(kept, SETTINGS).first().total_refund_amount == 5.0
+    dropped = {r.expectation: r.dropped for r in expectation_report({"refund_requests": requests}).collect()}
+    assert dropped == {"valid_refund_id": 0, "valid_amount": 3, "countable_amount": 3}
+
+
 def test_recommended_action(spark):
     got = evaluate(spark, [0.2, 0.399, 0.4, 0.699, 0.7], "double", bands.recommended_action)
     assert got == ["APPROVE", "APPROVE", "ESCALATE", "ESCALATE", "REJECT"]

@@ -38,12 +38,11 @@ def test_no_actions_change_nothing(spark, cases):
     assert after.exceptAll(cases).count() == 0 and after.count() == cases.count()
 
 
-@pytest.mark.parametrize("hot", [{}, dict(min_rows=2, salts=3)])
-def test_latest_valid_action_wins_on_every_row_of_a_claim(spark, cases, hot):
+def test_latest_valid_action_wins_on_every_row_of_a_claim(spark, cases):
     log = actions(
         spark, ("A", "approved", "first", at(8)), ("A", "rejected", "second", at(9)), ("A", "bogus", "third", at(10)),
         ("A", "approved", " ", at(11)), ("B", "escalated", "odd", None), ("Z", "approved", "no case", at(9)))
-    after = serving.with_is_actioned(serving.apply_actions(cases, log, **hot))
+    after = serving.with_is_actioned(serving.apply_actions(cases, log))
     got = sorted((r.refund_id, r.workflow_state, r.csr_action, r.csr_reason, r.csr_acted_at, r.is_actioned)
                  for r in after.filter("refund_id != 'C'").collect())
     assert got == [("A", "rejected", "rejected", "second", at(9), True)] * 2 + [
