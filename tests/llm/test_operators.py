@@ -2,6 +2,7 @@
 
 import struct
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -192,6 +193,45 @@ def test_licences(spark):
     }
 
 
+def test_licence_files_and_notices_inside_lines(spark):
+    """Real licence files speak for the files below them, and a notice counts within a long line or paragraph."""
+    folder = Path(__file__).parent / "license_files"
+    real = {f.stem: f.read_text() for f in folder.glob("*.txt")}
+    full = dict(licenses.full_texts())
+    real |= {x: full[x] for x in ("AGPL-3.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0")}
+    files = [row for x, t in real.items() for row in ((f"{x}/LICENSE", t), (f"{x}/src/a.txt", "plain text here"))]
+    rest = " ".join(f"w{i}" for i in range(200))
+    files += [
+        ("in/a.txt", f"{rest} Released under the MIT License. {rest}"),
+        ("in/b.txt", f"/* {rest}\n * {rest} Licensed under the Apache License, Version 2.0. {rest}\n * {rest} */"),
+        ("in/c.txt", f"{rest}\n\n{real['MIT']}\n\n{rest} {rest}"), ("in/d.txt", rest), ("in/e.txt", rest + " the License of this work"),
+    ]
+    found = licenses.scan_licenses(spark.createDataFrame(files, "path string, text string").repartition(3))
+    got = {r["path"]: (r["license"], r["origin"], r["license_directory"]) for r in found.collect()}
+    expected = {f"{x}/LICENSE": (x, "file", x) for x in real} | {f"{x}/src/a.txt": (x, "inherited", x) for x in real}
+    assert got == expected | {
+        "in/a.txt": ("MIT", "header", None), "in/b.txt": ("Apache-2.0", "header", None), "in/c.txt": ("MIT", "header", None),
+        "in/d.txt": (None, "none", None), "in/e.txt": (None, "none", None)}
+
+
+def test_licence_weights_count_all_terms(spark):
+    """Scores use the document frequencies of words of no template too."""
+    import math
+
+    files = [("a", "Licensed under the MIT license by common rarely")] + [(f"f{i}", "common words of the files") for i in range(50)]
+    found = licenses.scan_licenses(
+        spark.createDataFrame(files, "path string, text string"), threshold=0.1, templates=(("none", "zzz"),),
+        full=(("MIT", "the MIT license"),)).filter("path = 'a'").first()
+
+    def weight(n):
+        return 1 + math.log(52 / (1 + n))
+
+    square = weight(51) ** 2 + 2 * weight(1) ** 2  # the; mit, license
+    other = weight(51) ** 2 + 4 * weight(1) ** 2  # common; licensed, under, by, rarely
+    assert found["origin"] == "file"
+    assert found["score"] == pytest.approx(math.sqrt(square / (square + other)))
+
+
 def test_licence_cosines(texts):
     """The vectors give the same cosines as plain dictionaries."""
     import math
