@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from claimsift.llm.common import ready, signed, staged
 from claimsift.llm.words import Chunk, chunks, flat_ranges, span_hashes
@@ -252,8 +253,9 @@ CANDIDATE = pa.struct([("whole", pa.bool_()), ("license", pa.string()), ("dot",
 
 
 def candidates(files: DataFrame, path: str, text: str, notices: Templates, texts: Templates, idf: list[np.ndarray],
-               documents: int, threshold: float) -> DataFrame:
-    """``row, path, candidates``: each file, numbered, with the parts of its text that may decide on its licence."""
+               documents: int, threshold: float, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``row, path, candidates``: each file, numbered, with the parts of its text that may decide on its licence. The
+    columns of ``keep`` come along as ``keep_0`` and so on."""
     most = 1 + float(np.log((1 + documents) / 2))
 
     def found(chunk: Chunk) -> pa.Array:
@@ -299,18 +301,23 @@ def candidates(files: DataFrame, path: str, text: str, notices: Templates, texts
         for batch in batches:
             for chunk in chunks(batch.column(1)):
                 n = len(chunk.rows)
+                same = [batch.column(i).slice(chunk.rows[0], n) for i in (0, *range(2, batch.num_columns))]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(row, row + n)), batch.column(0).slice(chunk.rows[0], n), found(chunk)],
-                    ["row", "path", "candidates"])
+                    [pa.array(np.arange(row, row + n)), found(chunk), *same], ["row", "candidates", "path", *kept])
                 row += n
 
-    rows = files.select(F.col(path).cast("string").alias("path"), F.col(text).cast("string").alias("text"))
+    kept = [f"keep_{i}" for i in range(len(keep))]
+    rows = files.select(F.col(path).cast("string").alias("path"), F.col(text).cast("string").alias("text"),
+                        *[F.col(c).alias(k) for c, k in zip(keep, kept)])
     struct = "array<struct<whole:boolean,license:string,dot:double,square:double,terms:array<long>,times:array<double>>>"
-    return rows.mapInArrow(run, f"row long, path string, candidates {struct}")
+    schema = StructType([*StructType.fromDDL(f"row long, candidates {struct}, path string").fields,
+                         *[StructField(k, rows.schema[k].dataType) for k in kept]])
+    return rows.mapInArrow(run, schema)
 
 
 def decided(found: DataFrame, counted: DataFrame, documents: int, threshold: float) -> DataFrame:
-    """``path, license, score, is_license_file``: what the texts themselves say; no licence below the threshold."""
+    """``path, license, score, is_license_file`` and what was kept: what the texts themselves say; no licence below the
+    threshold."""
     each = found.select("row", F.posexplode("candidates").alias("unit", "c")).select("row", "unit", "c.*")
     terms = each.select("row", "unit", F.explode(F.arrays_zip("terms", "times")).alias("t")).select("row", "unit", "t.*")
     # A term that is not listed occurs in the one file only.
@@ -323,8 +330,9 @@ def decided(found: DataFrame, counted: DataFrame, documents: int, threshold: flo
     best = judged.groupBy("row").agg(F.min_by(
         F.struct("license", F.least("score", F.lit(1.0)).alias("score"), "whole"),
         F.struct(~F.col("whole"), -F.col("score"), "unit")).alias("best"))
-    return found.select("row", "path").join(best, "row", "left").select(
-        "path", "best.license", F.coalesce("best.score", F.lit(0.0)).alias("score"),
+    kept = [c for c in found.columns if c not in ("row", "candidates")]
+    return found.select("row", *kept).join(best, "row", "left").select(
+        *kept, "best.license", F.coalesce("best.score", F.lit(0.0)).alias("score"),
         F.coalesce("best.whole", F.lit(False)).alias("is_license_file"))
 
 
@@ -334,15 +342,15 @@ def directory(path: Column) -> Column:
 
 
 def scan_licenses(files: DataFrame, path: str = "path", text: str = "text", threshold: float = THRESHOLD,
-                  templates=TEMPLATES, full=None) -> DataFrame:
-    """``path, license, score, origin, license_directory`` for each row of ``files``.
+                  templates=TEMPLATES, full=None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``path, license, score, origin, license_directory`` for each row of ``files``, after its columns of ``keep``.
 
     ``origin`` is ``file`` for a text that as a whole is a licence, by a notice of ``templates`` or a full text of ``full``
     (those of the package if None), ``header`` for a text with a notice in some line, paragraph or run of words, ``inherited`` for a text without one below a directory (its own first) that holds a licence file, else
     ``none`` with a null licence. Of several notices in a text the best match counts, of several licence files in a
     directory the best, then the smallest name. Null, empty and blank texts have no notice, but inherit. A null path
     is in no directory. Texts are compared as a whole, whatever their length; repeated rows get equal answers; an empty
-    table gives no rows. Other columns are ignored, whatever their names.
+    table gives no rows. Columns not in ``keep`` are ignored, whatever their names.
     """
     ready(files.sparkSession)
     notices, texts = Templates(templates), Templates(full_texts() if full is None else full)
@@ -351,7 +359,7 @@ def scan_licenses(files: DataFrame, path: str = "path", text: str = "text", thre
     # A term of one file need not be kept.
     counted = staged(frequencies(files, text).join(listed, "term", "left").filter("term IS NULL OR n > 1 OR listed"), "terms")
     idf, documents = weights(counted, [notices, texts])
-    found = staged(candidates(files, path, text, notices, texts, idf, documents, threshold), "candidates")
+    found = staged(candidates(files, path, text, notices, texts, idf, documents, threshold, keep), "candidates")
     own = staged(decided(found, counted.filter("term IS NOT NULL"), documents, threshold).withColumn(
         "directory", directory(F.col("path"))), "notices")
     # One row per directory with a licence file, and per directory that lacks something.
@@ -370,7 +378,7 @@ def scan_licenses(files: DataFrame, path: str = "path", text: str = "text", thre
     origin = (F.when(F.col("is_license_file"), "file").when(F.col("license").isNotNull(), "header")
               .when(inherited, "inherited").otherwise("none"))
     return joined.select(
-        "path", F.coalesce("license", "near.found").alias("license"),
+        *[F.col(f"keep_{i}").alias(c) for i, c in enumerate(keep)], "path", F.coalesce("license", "near.found").alias("license"),
         F.when(inherited, F.col("near.cosine")).otherwise(F.col("score")).alias("score"), origin.alias("origin"),
         F.when(inherited, F.col("near.license_directory")).when(F.col("is_license_file"), F.col("directory")).alias(
             "license_directory"))

@@ -22,11 +22,11 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents have no paths; here each is a file below its source and its thousand of ids."""
-    path = F.concat_ws("/", F.coalesce("source", F.lit("_")), F.expr("doc_id div 1000"), F.col("doc_id"))
-    found = licenses.scan_licenses(_table(spark, sf_dir, "documents").select(path.alias("path"), "text"))
-    doc_id = F.substring_index("path", "/", -1).cast("long")
-    return found.select(doc_id.alias("doc_id"), "license", "score", "origin", "license_directory")
+    """Documents have no paths; here each is a file below its source and its thousand of ids, or ``_`` without them."""
+    part = [F.coalesce(F.expr(c).cast("string"), F.lit("_")) for c in ("source", "doc_id div 1000", "doc_id")]
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.concat_ws("/", *part).alias("path"), "text")
+    found = licenses.scan_licenses(docs, keep=("doc_id",))
+    return found.select("doc_id", "license", "score", "origin", "license_directory")
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

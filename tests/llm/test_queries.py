@@ -31,3 +31,13 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_all_ten_and_the_pipeline_are_registered():
     assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)} | {"pipeline"}
+
+
+def test_license_scan_of_rows_without_an_id(spark, tmp_path):
+    rows = [(None, "Released under the MIT License.", "src1"), (None, "words", "src1"), (None, None, None),
+            (1001, "Released under the MIT License.", "src1"), (1002, "words", "src1"), (7, "words", "src1")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = [(r["doc_id"], r["license"], r["origin"]) for r in QUERIES["op2_license_scan"](spark, str(tmp_path)).collect()]
+    assert sorted(got, key=repr) == sorted([
+        (None, "MIT", "file"), (None, "MIT", "inherited"), (None, None, "none"), (1001, "MIT", "file"),
+        (1002, "MIT", "inherited"), (7, None, "none")], key=repr)
