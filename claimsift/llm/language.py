@@ -13,20 +13,28 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from claimsift.llm.common import U64, ready
-from claimsift.llm.words import Chunk, chunks, flat_ranges, mix, span_hashes
+from claimsift.llm.common import U64, ready, staged
+from claimsift.llm.words import CHUNK_BYTES, Chunk, chunks, flat_ranges, mix, span_hashes
 
 UNKNOWN = "und"
 BUCKETS = 1 << 16
 GRAMS = (1, 2, 3, 4)
 BLOCK = 64
+#: Least documents and sequences that a language is learned from, where it has them.
+LEAST = 40
+#: Numbers per array, about, in work that grows with the languages.
+CELLS = 8_000_000
 
 
 @dataclass(frozen=True)
 class Training:
-    """Bounds of what is learned from: documents per language (about), characters of each, word sequences of each."""
+    """Bounds of what is learned from: documents per language, characters of each, word sequences per language.
+
+    Every language is learned. With more than ``languages`` of them, documents and sequences per language go down in
+    proportion, to ``LEAST`` at the lowest.
+    """
 
     documents: int = 400
     characters: int = 2_000
@@ -36,6 +44,10 @@ class Training:
     epochs: int = 5
     seed: int = 11
 
+    def per_language(self, most: int, languages: int) -> int:
+        """``most`` up to the stated number of languages, less beyond."""
+        return min(most, max(LEAST, most * self.languages // max(1, languages)))
+
 
 @dataclass
 class Model:
@@ -93,7 +105,12 @@ class Vocabulary:
         out = np.zeros((len(self.hashes), len(model.languages)))
         if len(self.owner):
             edge = np.flatnonzero(np.concatenate([[True], self.owner[1:] != self.owner[:-1]]))
-            out[self.owner[edge]] = np.add.reduceat(model.weights[self.buckets], edge, axis=0)
+            ends = np.append(edge[1:], len(self.owner))
+            step = max(1, CELLS // (16 * len(model.languages)))
+            for lo in range(0, len(edge), step):
+                some = edge[lo:lo + step]
+                part = self.buckets[some[0]:ends[lo:lo + step][-1]]
+                out[self.owner[some]] = np.add.reduceat(model.weights[part], some - some[0], axis=0)
         out *= self.scale[:, None]
         known = self.listed(model.lexicon, model.lexicon_language)
         out[known >= 0] += model.lexicon_weight[known[known >= 0]]
@@ -115,7 +132,23 @@ def _unit(x: np.ndarray, axis: int = -1) -> np.ndarray:
 def posteriors(scores: np.ndarray, counts: np.ndarray, transitions: np.ndarray) -> np.ndarray:
     """Probability of each language for each word, by forward-backward over whole documents of ``counts`` words.
 
-    Documents are cut into blocks that advance together. A block's product of steps is a small matrix, so one pass over
+    Some documents at a time, so that the memory follows the words and languages, however short the documents.
+    """
+    n, states = scores.shape
+    block = max(BLOCK, states)  # a block's matrix is no larger than what its words need
+    total, ends = np.cumsum(-(-counts // block)), np.cumsum(counts)
+    most, lo, out = max(1, CELLS // (block * states)), 0, []
+    while lo < len(counts):
+        before = total[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(total, before + most, "right")))
+        part = counts[lo:hi]
+        out.append(_posteriors(scores[ends[lo] - counts[lo]:ends[hi - 1]], part, transitions, block))
+        lo = hi
+    return np.concatenate(out) if len(out) > 1 else out[0] if out else scores
+
+
+def _posteriors(scores: np.ndarray, counts: np.ndarray, transitions: np.ndarray, block: int) -> np.ndarray:
+    """Posteriors of some documents. Documents are cut into blocks that advance together. A block's product of steps is a small matrix, so one pass over
     the blocks of a document gives what reaches each block from either side; the result is that of one long pass.
     """
     n, states = scores.shape
@@ -123,34 +156,38 @@ def posteriors(scores: np.ndarray, counts: np.ndarray, transitions: np.ndarray)
         return scores
     step = np.exp(transitions - transitions.max())
     local = np.exp(scores - scores.max(axis=1, keepdims=True))
-    per = -(-counts // BLOCK)
+    per = -(-counts // block)
     block_doc = np.repeat(np.arange(len(counts)), per)
     within = np.arange(int(per.sum())) - np.repeat(np.cumsum(per) - per, per)
-    first = (np.cumsum(counts) - counts)[block_doc] + within * BLOCK
-    size = np.minimum(BLOCK, counts[block_doc] - within * BLOCK)
-    at = first[:, None] + np.arange(BLOCK)
-    real = np.arange(BLOCK) < size[:, None]
+    first = (np.cumsum(counts) - counts)[block_doc] + within * block
+    size = np.minimum(block, counts[block_doc] - within * block)
+    at = first[:, None] + np.arange(block)
+    real = np.arange(block) < size[:, None]
     seen = local[np.minimum(at, n - 1)]
 
-    product = np.broadcast_to(np.eye(states), (len(first), states, states)).copy()
-    for t in range(BLOCK):
-        new = (product @ step) * seen[:, t, None, :]
+    # Documents of a single block need no products.
+    many = np.flatnonzero((per > 1)[block_doc])
+    place = np.full(len(first), -1)
+    place[many] = np.arange(len(many))
+    product = np.broadcast_to(np.eye(states), (len(many), states, states)).copy()
+    for t in range(block if len(many) else 0):
+        new = (product @ step) * seen[many, t, None, :]
         new /= new.sum(axis=(1, 2), keepdims=True)
-        product = np.where(real[:, t, None, None], new, product)
+        product = np.where(real[many, t, None, None], new, product)
     enter = np.full((len(first), states), 1 / states)
     leave = np.ones((len(first), states))
     order = np.argsort(within, kind="stable")  # all first blocks, then all second ones
     groups = np.split(order, np.cumsum(np.bincount(within))[:-1])
     for g in groups[1:]:
-        enter[g] = _unit((enter[g - 1][:, None, :] @ product[g - 1])[:, 0])
+        enter[g] = _unit((enter[g - 1][:, None, :] @ product[place[g - 1]])[:, 0])
     for g in reversed(groups[1:]):
-        leave[g - 1] = _unit((product[g] @ leave[g][:, :, None])[:, :, 0])
+        leave[g - 1] = _unit((product[place[g]] @ leave[g][:, :, None])[:, :, 0])
 
-    forward = np.empty((BLOCK, len(first), states))
-    for t in range(BLOCK):
+    forward = np.empty((block, len(first), states))
+    for t in range(block):
         enter = _unit((enter @ step) * seen[:, t])
         forward[t] = enter
-    for t in reversed(range(BLOCK)):
+    for t in reversed(range(block)):
         forward[t] *= leave
         leave = np.where(real[:, t, None], _unit((seen[:, t] * leave) @ step.T), leave)
     return _unit(forward.transpose(1, 0, 2)[real])
@@ -163,18 +200,22 @@ def fit(texts: list[str], labels: list[str], training: Training = Training()) ->
     if chunk is None or not len(chunk.doc):
         return None
     words = Vocabulary(chunk)
-    label = np.array([languages.index(x) for x in labels])[chunk.doc]
+    number = {x: i for i, x in enumerate(languages)}
+    label = np.array([number[x] for x in labels])[chunk.doc]
     states, rng = len(languages), np.random.RandomState(training.seed)
-    times = np.zeros((len(words.hashes), states))
-    np.add.at(times, (words.of, label), 1)
-    typical = (times.sum(axis=1) >= 3) & (times.max(axis=1) >= 0.8 * times.sum(axis=1)) & words.lettered
-    model = Model(languages, np.zeros((BUCKETS, states)), words.hashes[typical], times[typical].argmax(axis=1),
+    pair, n = np.unique(words.of * states + label, return_counts=True)
+    total = np.bincount(pair // states, n, minlength=len(words.hashes))
+    order = np.lexsort((pair, -n, pair // states))
+    top = order[np.searchsorted(pair[order] // states, np.arange(len(words.hashes)))]  # the first of equals
+    most = pair[top] % states
+    typical = (total >= 3) & (n[top] >= 0.8 * total) & words.lettered
+    model = Model(languages, np.zeros((BUCKETS, states)), words.hashes[typical], most[typical],
                   np.zeros((states, states)), np.zeros((states, states)))
-    listed = np.where(typical, times.argmax(axis=1), -1)
+    listed = np.where(typical, most, -1)
     streams = [np.flatnonzero(label == s) for s in range(states)]
     present = [s for s in range(states) if len(streams[s])]
     sequences, target = [], []
-    for _ in range(training.sequences):
+    for _ in range(training.per_language(training.sequences, len(present))):
         for s in present:
             other = s if rng.rand() < 0.7 else present[rng.randint(len(present))]
             cut = rng.randint(1, training.length)
@@ -185,9 +226,9 @@ def fit(texts: list[str], labels: list[str], training: Training = Training()) ->
     starts = np.searchsorted(words.owner, np.arange(len(words.hashes) + 1))
     squares = [np.full_like(x, 1e-8) for x in (model.weights, model.lexicon_weight, model.transitions)]
 
-    def learn(i: int, array: np.ndarray, gradient: np.ndarray, rate: float) -> None:
-        squares[i] += gradient**2
-        array -= rate * gradient / np.sqrt(squares[i])
+    def learn(i: int, array: np.ndarray, gradient: np.ndarray, rate: float, rows=slice(None)) -> None:
+        squares[i][rows] += gradient**2
+        array[rows] -= rate * gradient / np.sqrt(squares[i][rows])
 
     for _ in range(training.epochs):
         for some in np.array_split(rng.permutation(len(sequences)), max(1, len(sequences) // 250)):
@@ -209,11 +250,13 @@ def fit(texts: list[str], labels: list[str], training: Training = Training()) ->
             gradient = np.zeros((len(used), states))
             np.add.at(gradient, place.ravel(), wrong.reshape(-1, states))
             gradient[~words.lettered[used]] = 0
-            full = np.zeros_like(model.weights)
-            np.add.at(full, flat, (gradient * words.scale[used][:, None])[owner])
+            # Buckets that do not occur have no gradient.
+            rows, of_row = np.unique(flat, return_inverse=True)
+            full = np.zeros((len(rows), states))
+            np.add.at(full, of_row, (gradient * words.scale[used][:, None])[owner])
             hints = np.zeros_like(model.lexicon_weight)
             np.add.at(hints, hint[hint >= 0], gradient[hint >= 0])
-            learn(0, model.weights, full, 0.2)
+            learn(0, model.weights, full, 0.2, rows)
             learn(1, model.lexicon_weight, hints, 0.2)
             learn(2, model.transitions, pairs, 0.2)
     return model
@@ -229,8 +272,9 @@ def _pair_gradient(scores: np.ndarray, transitions: np.ndarray, target: np.ndarr
     ahead.reverse()
     behind, expected = _unit(local[:, 0]), np.zeros((states, states))
     for t in range(1, length):
-        joint = behind[:, :, None] * step * (local[:, t] * ahead[t])[:, None, :]
-        expected += (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+        after = local[:, t] * ahead[t]
+        whole = ((behind @ step) * after).sum(axis=1, keepdims=True)
+        expected += step * ((behind / whole).T @ after)
         behind = _unit((behind @ step) * local[:, t])
     np.subtract.at(expected, (target[:, :-1].ravel(), target[:, 1:].ravel()), 1)
     return expected
@@ -242,19 +286,26 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_sample(docs: DataFrame, doc_id: str, text: str, lang: str, training: Training) -> list[tuple[str, str]]:
-    """A bounded sample: about equally many documents of each language by a hash of their id, an excerpt of each."""
-    known = docs.filter(F.col(lang).isNotNull() & (F.col(lang) != "") & F.col(text).isNotNull() & ~held_out(F.col(doc_id)))
-    counts = known.groupBy(F.col(lang).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(training.languages)
-    shares = {r["lang"]: training.documents / r["count"] for r in counts.collect()}
-    if not shares:
-        return []
+    """A bounded sample: equally many documents of each language, as far as it has them, by a hash of their id, and an
+    excerpt of each."""
     hashed = F.xxhash64(F.col(doc_id).cast("string"), F.lit(training.seed))
-    share = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])[F.col(lang)]
-    chosen = known.filter(F.pmod(hashed, F.lit(1 << 30)) < share * (1 << 30))
-    room = F.greatest(F.length(text) - training.characters, F.lit(0)) + 1
-    excerpt = F.col(text).substr((F.pmod(hashed, room) + 1).cast("int"), F.lit(training.characters))
-    rows = chosen.select(hashed.alias("h"), excerpt.alias("text"), F.col(lang).alias("lang")).orderBy("h", "text").limit(
-        2 * training.documents * len(shares))
+    known = docs.filter(F.col(lang).isNotNull() & (F.col(lang) != "") & F.col(text).isNotNull() & ~held_out(F.col(doc_id))).select(
+        hashed.alias("h"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+
+    def first(rows: DataFrame, most: int, *order: str) -> DataFrame:
+        return rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= most)
+
+    # Hashes alone first, so that no text is sorted but those of the sample.
+    tops = staged(first(known.select("lang", "h"), training.documents, "h"), "sample")
+    languages = tops.select("lang").distinct().count()
+    if not languages:
+        return []
+    most = training.per_language(training.documents, languages)
+    last = tops.filter(F.col("rank") <= most).groupBy("lang").agg(F.max("h").alias("last"))
+    room = F.greatest(F.length("text") - training.characters, F.lit(0)) + 1
+    excerpt = F.col("text").substr((F.pmod("h", room) + 1).cast("int"), F.lit(training.characters))
+    chosen = known.join(last, "lang").filter("h <= last").select("h", excerpt.alias("text"), "lang")
+    rows = first(chosen, most, "h", "text").orderBy("h", "text", "lang")
     return [(r["text"], r["lang"]) for r in rows.collect()]
 
 
@@ -263,10 +314,11 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
     words) of each text. Columns of these names in the input are replaced."""
     docs = docs.drop("lang_pred", "score", "spans")
     place = docs.columns.index(text)
+    at_most = CHUNK_BYTES * 8 // max(8, len(model.languages) if model else 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk in chunks(batch.column(place)):
+            for chunk in chunks(batch.column(place), at_most):
                 part = batch.slice(chunk.rows[0], len(chunk.rows))
                 yield pa.RecordBatch.from_arrays([*part.columns, *_labelled(chunk, model)], names)
 

@@ -110,6 +110,40 @@ def test_language_of_held_out_texts(spark):
     assert sum(r[0] == r[1] for r in rows) >= 0.97 * len(rows)
 
 
+def test_every_language_is_learned(spark, tmp_path):
+    """More languages than the sample's full size is meant for, the last of them rare, one with null ids only."""
+    rng = np.random.RandomState(5)
+    lexicon = [["".join(rng.choice(list("abcdefghijklmnop"), 6)) for _ in range(30)] for _ in range(70)]
+    rows = [(100 * s + i, " ".join(rng.choice(lexicon[s], 12)), f"l{s:02}") for s in range(69) for i in range(12 if s < 64 else 8)]
+    rows += [(None, " ".join(rng.choice(lexicon[69], 12)), "l69") for _ in range(8)]
+    docs = saved(spark.createDataFrame(rows, "doc_id long, text string, lang string"), tmp_path / "languages")
+    found = language.identify(docs, training=language.Training(sequences=60)).select("lang", "lang_pred").collect()
+    assert {r["lang_pred"] for r in found} == {f"l{s:02}" for s in range(70)}
+    assert sum(r["lang"] == r["lang_pred"] for r in found) >= 0.95 * len(found)
+
+
+def test_language_chances_of_blocks(monkeypatch):
+    """Documents of any length, in any number of parts and blocks, as in one plain pass."""
+    rng = np.random.RandomState(2)
+    counts, transitions = np.array([1, 0, 200, 64, 65, 3, 130]), rng.standard_normal((5, 5))
+    scores = rng.standard_normal((counts.sum(), 5))
+    plain, step, at = [], np.exp(transitions), 0
+    for n in counts:
+        local = np.exp(scores[at:at + n])
+        ahead, behind = np.ones((n, 5)), np.ones((n, 5))
+        for t in range(n):
+            behind[t] = ((behind[t - 1] if t else np.ones(5)) @ step) * local[t]
+            behind[t] /= behind[t].sum()
+        for t in range(n - 2, -1, -1):
+            ahead[t] = step @ (local[t + 1] * ahead[t + 1])
+            ahead[t] /= ahead[t].sum()
+        plain.append(behind * ahead / (behind * ahead).sum(axis=1, keepdims=True))
+        at += n
+    for cells in (language.CELLS, 700):
+        monkeypatch.setattr(language, "CELLS", cells)
+        assert np.allclose(language.posteriors(scores, counts, transitions), np.concatenate(plain))
+
+
 def test_language_of_switched_words(documents):
     """Spans cover every word of a text once."""
     for r in language.identify(documents).select("text", "lang_pred", "spans").collect():
