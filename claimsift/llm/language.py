@@ -310,9 +310,10 @@ def training_sample(docs: DataFrame, doc_id: str, text: str, lang: str, training
 
 
 def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred``, ``score`` and ``spans``, the runs of words of one language (language, first word,
-    words) of each text. Columns of these names in the input are replaced."""
-    docs = docs.drop("lang_pred", "score", "spans")
+    """``docs`` with ``lang_pred``, ``score``, ``spans``, the runs of words of one language (language, first word, words)
+    of each text, and ``in_language``, the share of its lettered words that some language has with a chance of at least a
+    half; without a model that is 1 for any text with a letter. Columns of these names in the input are replaced."""
+    docs = docs.drop("lang_pred", "score", "spans", "in_language")
     place = docs.columns.index(text)
     at_most = CHUNK_BYTES * 8 // max(8, len(model.languages) if model else 0)
 
@@ -323,7 +324,7 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
                 yield pa.RecordBatch.from_arrays([*part.columns, *_labelled(chunk, model)], names)
 
     spans = "array<struct<lang:string,first:long,words:long>>"
-    schema = docs.withColumns({"lang_pred": F.lit("x"), "score": F.lit(0.5), "spans": F.lit(None).cast(spans)}).schema
+    schema = docs.withColumns({"lang_pred": F.lit("x"), "score": F.lit(0.5), "spans": F.lit(None).cast(spans), "in_language": F.lit(0.5)}).schema
     for f in schema.fields:
         f.nullable = True
     names = schema.fieldNames()
@@ -336,7 +337,10 @@ SPAN = pa.struct([("lang", pa.string()), ("first", pa.int64()), ("words", pa.int
 def _labelled(chunk: Chunk, model: Model | None) -> list[pa.Array]:
     docs = len(chunk.rows)
     if model is None or not len(chunk.doc):
-        return [pa.array([UNKNOWN] * docs), pa.array(np.zeros(docs)), pa.array([[]] * docs, pa.list_(SPAN))]
+        lettered = Vocabulary(chunk) if len(chunk.doc) else None
+        some = np.zeros(docs) if lettered is None else np.bincount(chunk.doc, lettered.lettered[lettered.of], minlength=docs) > 0
+        return [pa.array([UNKNOWN] * docs), pa.array(np.zeros(docs)), pa.array([[]] * docs, pa.list_(SPAN)),
+                pa.array(some.astype(float))]
     words = Vocabulary(chunk)
     chance = posteriors(words.scores(model)[words.of], chunk.counts, model.transitions)
     lettered = words.lettered[words.of]
@@ -345,6 +349,8 @@ def _labelled(chunk: Chunk, model: Model | None) -> list[pa.Array]:
     some = sums.sum(axis=1)
     best = sums.argmax(axis=1)
     score = np.where(some > 0, sums.max(axis=1) / np.where(some > 0, some, 1), 0.0)
+    clear = np.bincount(chunk.doc, (chance.max(axis=1) >= 0.5) & lettered, minlength=docs)
+    inside = clear / np.bincount(chunk.doc, lettered, minlength=docs).clip(1)
     names = np.array([*model.languages, UNKNOWN], object)
     label = chance.argmax(axis=1)
     edge = np.flatnonzero(np.concatenate([[True], (label[1:] != label[:-1]) | (chunk.doc[1:] != chunk.doc[:-1])]))
@@ -353,12 +359,13 @@ def _labelled(chunk: Chunk, model: Model | None) -> list[pa.Array]:
          pa.array(np.diff(np.append(edge, len(label))).astype(np.int64))], fields=list(SPAN))
     offsets = np.searchsorted(chunk.doc[edge], np.arange(docs + 1)).astype(np.int32)
     return [pa.array(names[np.where(some > 0, best, len(model.languages))], pa.string()), pa.array(score.clip(0, 1)),
-            pa.ListArray.from_arrays(pa.array(offsets), runs)]
+            pa.ListArray.from_arrays(pa.array(offsets), runs), pa.array(inside)]
 
 
 def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
              training: Training = Training()) -> DataFrame:
-    """``docs`` with ``held_out``, ``lang_pred``, ``score`` (the language's share of the words' probability) and ``spans``.
+    """``docs`` with ``held_out``, ``lang_pred``, ``score`` (the language's share of the words' probability), ``spans``
+    and ``in_language`` (see ``predict``).
 
     Learns from texts with a language outside the held-out third; a null or empty language is no label. A text that is
     null or has no letter, and any text if nothing is labelled, gets ``und`` and 0. Repeated rows get equal answers, very

@@ -13,8 +13,8 @@ from claimsift.llm import jaccard, language, mixing, packing, substrings
 from claimsift.llm.common import ready, staged
 
 #: Columns that operators add to those of their input.
-ADDED = {"held_out", "lang_pred", "score", "spans", "n_words", "n_removed", "kept"}
-#: Least share of a text's words that its language must have; texts below are in no one language.
+ADDED = {"held_out", "lang_pred", "score", "spans", "in_language", "n_words", "n_removed", "kept"}
+#: Least share of a text's lettered words that must be in a learned language, be it one for all or several.
 LEAST_SHARE = 0.5
 
 
@@ -28,10 +28,10 @@ def _aside(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without any letter and texts of which no language has half of the words."""
+    """Drops texts without any letter and texts of which less than half of the words are in any learned language. Texts
+    that switch language stay, and if nothing is labelled all texts with a letter do."""
     mine, names = _aside(docs)
-    clear = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE)
-    return language.identify(mine).filter(clear).select(*[F.col(new).alias(c) for c, new in names.items()])
+    return language.identify(mine).filter(F.col("in_language") >= LEAST_SHARE).select(*[F.col(new).alias(c) for c, new in names.items()])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -107,3 +107,24 @@ def test_odd_columns_and_rows(spark, tmp_path, name):
     empty = spark.createDataFrame([], docs.schema)
     empty.write.parquet(f"{tmp_path}/none")
     assert STAGES[name](spark, spark.read.parquet(f"{tmp_path}/none"), SF_DIR).count() == 0
+
+
+def test_language_stage_without_labels(spark, tmp_path):
+    rows = [(1, "many words of a text", None), (2, "12 34 ??", None), (3, "", None), (4, None, None), (None, "слова без метки", "")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/docs")
+    left = corpus_pipeline.identify_language(spark, spark.read.parquet(f"{tmp_path}/docs"), SF_DIR)
+    assert sorted((r[0] for r in left.select("doc_id").collect()), key=repr) == [1, None]
+
+
+def test_language_stage_keeps_texts_in_several_languages(spark, tmp_path):
+    """A text in three languages in equal parts stays, though none has half of it."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    parts = {}
+    for r in docs.filter("lang IS NOT NULL AND size(split(text, ' ')) > 60").orderBy("doc_id").collect():
+        parts.setdefault(r["lang"], " ".join(r["text"].split()[:50]))
+    for i in range(3):
+        mixed = [x for _, x in sorted(parts.items())][i:] + [x for _, x in sorted(parts.items())][:i]
+        docs = docs.union(spark.createDataFrame([(10_000_000 + i, " ".join(mixed[:3]), None)], docs.schema))
+    docs.write.parquet(f"{tmp_path}/docs")
+    left = corpus_pipeline.identify_language(spark, spark.read.parquet(f"{tmp_path}/docs"), SF_DIR)
+    assert {r[0] for r in left.filter("doc_id >= 10000000").select("doc_id").collect()} == {10_000_000 + i for i in range(3)}
