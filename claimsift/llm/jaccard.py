@@ -7,8 +7,8 @@ keeps all links between classes without ever comparing all pairs of a group:
    class holds, with their frequency. Shingles found once never count towards an overlap, so a class with fewer than
    75 % of shared shingles has no partner and goes no further.
 2. *Index lists.* Shingles in order of frequency, a class is listed under its first ones only, as many as a partner
-   cannot all miss. Lists are cut into runs by set size, and positions bound what two sets can still share, so that
-   entries out of reach are skipped by the block.
+   cannot all miss. Pairs of a short list are masked by what their sizes and positions still let them share; no blocks
+   of a list are skipped.
 3. *Hubs.* A long list pairs each member only with its hub, the member whose shingles are the most common. The overlaps
    with the hub bound the overlap of any two members from both sides: |x&y| >= |x&h| + |y&h| - |h| and
    |x&y| <= min(|x&h|, |y&h|) + min(|x'|-|x&h|, |y'|-|y&h|), where x' is what x shares with any class. So the answers of a set follow from those of the hub
