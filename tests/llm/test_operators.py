@@ -175,6 +175,27 @@ def test_vectors(spark, tmp_path):
             assert r["component_id"] == min(reach) and r["kept"] == (min(reach) == r["vec_id"])
 
 
+@pytest.mark.parametrize("clustered", [False, True])
+def test_share_of_links_found_with_many_cells(spark, tmp_path, clustered):
+    """200 cells, of which each vector probes 12; every pair has a cosine of 0.9 to about 0.93."""
+    rng = np.random.RandomState(9)
+    base = rng.standard_normal((2000, 64)) + (6 * rng.standard_normal((20, 64))[rng.randint(20, size=2000)] / 8 if clustered else 0)
+    base /= np.sqrt((base**2).sum(axis=1, keepdims=True))
+    aside = rng.standard_normal((2000, 64))
+    aside -= (aside * base).sum(axis=1, keepdims=True) * base
+    aside /= np.sqrt((aside**2).sum(axis=1, keepdims=True))
+    cosine = rng.uniform(0.902, 0.93, (2000, 1))
+    vectors = np.concatenate([base, cosine * base + np.sqrt(1 - cosine**2) * aside])
+    docs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    found = embeddings.near_duplicate_vectors(saved(docs, tmp_path / "v"), index=embeddings.Index(per_cell=20)).collect()
+    unit = vectors / np.sqrt((vectors**2).sum(axis=1, keepdims=True))
+    links = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    assert all(r["n_links"] <= links[r["vec_id"]] for r in found)
+    share = sum(r["n_links"] for r in found) / links.sum()
+    print(f"share of {links.sum() // 2} links found, clustered {clustered}: {share:.4f}")
+    assert links.sum() >= 4000 and share >= 0.9
+
+
 def test_counts_of_texts(spark, odd, texts):
     rows = [*texts, (7001, "a b\n\na b\n a b\nc\r\nc\r\n"), (7002, "# * $ & x" * 9), (7003, "one two three four five six seven eight " * 2)]
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
