@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 from claimsift.llm import (
-    embeddings, jaccard, language, licenses, mixing, packing, rules, sharding, sql, substrings,
+    embeddings, jaccard, language, licenses, mixing, packing, resampling, rules, sharding, sql, substrings, tries,
 )
 
 
@@ -68,17 +68,29 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = tries.numbered_turns(_table(spark, sf_dir, "conversations"))
+    heads = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9
+    return tries.prefix_trie(*tries.rebuilt_from_heads(turns, heads))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {q.__name__: q for q in (
     op1_mix_sources, op2_license_scan, op3_ngram_jaccard_join, op4_language_id, op5_embedding_near_dedup,
-    op6_shard_assignment, op7_substring_dedup, op8_quality_rules, op9_token_matrices, op10_best_fit_packing, pipeline)}
+    op6_shard_assignment, op7_substring_dedup, op8_quality_rules, op9_token_matrices, op10_best_fit_packing,
+    op12_importance_resampling, op13_conversation_trie, pipeline)}
 SQL = {
     "op1_mix_sources": sql.OP1, "op3_ngram_jaccard_join": sql.OP3, "op5_embedding_near_dedup": sql.OP5,
     "op6_shard_assignment": sql.OP6,
-    "op7_substring_dedup": sql.OP7,
+    "op7_substring_dedup": sql.OP7, "op12_importance_resampling": sql.OP12, "op13_conversation_trie": sql.OP13,
 }
 
 

@@ -142,3 +142,95 @@ SELECT v.vec_id, coalesce(n, 0) AS n_links, component_id, v.vec_id = component_i
 FROM v LEFT JOIN (SELECT x, count(*) AS n FROM links GROUP BY x) ON x = v.vec_id
 JOIN (SELECT vec_id, min(r) AS component_id FROM reached GROUP BY ALL) c ON c.vec_id = v.vec_id
 """
+
+#: Checksums of bytes by table, with ``bits`` and a list of bytes.
+BITS = """bits AS (
+    SELECT list(v ORDER BY i) AS c FROM (
+        SELECT i, list_reduce(list_prepend(i::BIGINT, range(8)),
+            lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS v
+        FROM range(256) AS t(i))
+)"""
+CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(regexp_extract_all(hex(encode({0})), '..'), lambda b: ('0x' || b)::BIGINT)),
+    lambda x, y: xor(x >> 8, c[(xor(x, y) & 255) + 1])))"""
+
+OP12 = f"""
+WITH {BITS},
+split AS (
+    SELECT 0 AS side, row_number() OVER () AS r, doc_id, text FROM documents
+    UNION ALL SELECT 1, row_number() OVER (), NULL, text FROM benchmark
+),
+words AS (
+    SELECT side, r, unnest(regexp_extract_all(coalesce({LOWER}, ''), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS w FROM split
+),
+hashed AS (SELECT w, {CRC32.format("w")} % 10000 AS b FROM (SELECT DISTINCT w FROM words), bits),
+features AS (SELECT side, r, b FROM words JOIN hashed USING (w)),
+counted AS (
+    SELECT b, count(*) FILTER (WHERE side = 0) AS s, count(*) FILTER (WHERE side = 1) AS t FROM features GROUP BY b
+),
+gains AS (
+    SELECT b, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE
+        / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain FROM counted
+),
+weighed AS (
+    SELECT r, count(*) AS n, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+    FROM features JOIN gains USING (b) WHERE side = 0 GROUP BY r
+),
+scored AS (
+    SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + floor(-1000.0::DOUBLE * ln(-ln((('0x' || sha256('2024:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT
+            + 0.5::DOUBLE) / 4294967296.0::DOUBLE)))::BIGINT AS score
+    FROM split LEFT JOIN weighed USING (r) WHERE side = 0
+),
+placed AS (
+    SELECT *, n_features >= 20 AS enough, count(*) FILTER (WHERE n_features >= 20) OVER () AS n,
+        row_number() OVER (ORDER BY n_features >= 20 DESC, score DESC, doc_id NULLS LAST, n_features) AS place
+    FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN enough AND place <= 10 * n // 100 THEN place END AS rank FROM placed
+"""
+
+OP13 = f"""
+WITH {BITS},
+told AS (
+    SELECT conv_id AS c, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL
+),
+digests AS (
+    SELECT c, turn, octet_length(encode(t)) AS bytes,
+        sha256(octet_length(encode(r))::VARCHAR || ':' || r || t)[1:32] AS g FROM told
+),
+own AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, g) AS p FROM digests),
+sizes AS (SELECT c, count(*) AS m FROM own GROUP BY c),
+heads AS (
+    SELECT s.c, s.c - s.c % 5 AS base, h, least(h, coalesce(b.m, 0)) AS taken
+    FROM (SELECT c AS who, {CRC32.format("who::VARCHAR").replace("c[", "table_[")} % 9 AS h FROM sizes, (SELECT c AS table_ FROM bits)) x
+    JOIN sizes s ON s.c = x.who LEFT JOIN sizes b ON b.c = s.c - s.c % 5
+),
+rebuilt AS (
+    SELECT heads.c, p, g, bytes FROM heads JOIN own ON own.c = base AND p <= h
+    UNION ALL
+    SELECT heads.c, p - h + taken, g, bytes FROM heads JOIN own ON own.c = heads.c AND p > h
+),
+prefixes AS (
+    SELECT c, p AS d, bytes, md5(string_agg(g, ',') OVER (PARTITION BY c ORDER BY p)) AS k FROM rebuilt
+    UNION ALL SELECT c, 0, 0, '' FROM heads
+),
+nodes AS (SELECT d, k, min(c) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes FROM prefixes GROUP BY d, k),
+parents AS (
+    SELECT n.d, n.k, p.k AS pk, q.conv_id AS parent_conv_id FROM nodes n
+    JOIN prefixes p ON p.c = n.conv_id AND p.d = n.d - 1 JOIN nodes q ON q.d = p.d AND q.k = p.k
+),
+children AS (SELECT d - 1 AS d, pk AS k, count(*) AS n_children FROM parents GROUP BY ALL),
+subtrees AS (
+    SELECT a.d, a.k, sum((n.n_convs - 1) * n.bytes)::BIGINT AS saved_tokens,
+        count(*) FILTER (WHERE n_children IS NULL) AS n_leaves
+    FROM nodes n LEFT JOIN children USING (d, k) JOIN prefixes a ON a.c = n.conv_id AND a.d <= n.d GROUP BY ALL
+),
+ends AS (
+    SELECT d, k, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS h
+    FROM (SELECT c, d, k FROM prefixes QUALIFY d = max(d) OVER (PARTITION BY c)) GROUP BY d, k
+)
+SELECT conv_id, n.d::BIGINT AS depth, parent_conv_id, n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens,
+    coalesce(h, sha256('')) AS ends_sha256
+FROM nodes n JOIN subtrees USING (d, k) LEFT JOIN parents USING (d, k) LEFT JOIN children USING (d, k) LEFT JOIN ends USING (d, k)
+"""
