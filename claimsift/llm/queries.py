@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 from claimsift.llm import (
-    embeddings, jaccard, language, licenses, mixing, packing, resampling, rules, sharding, sql, substrings, tries,
+    embeddings, jaccard, language, licenses, mixing, neighbours, packing, resampling, rules, sharding, sql, substrings, tries,
 )
 
 
@@ -68,6 +68,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(_table(spark, sf_dir, "embeddings"))
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
@@ -86,7 +90,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {q.__name__: q for q in (
     op1_mix_sources, op2_license_scan, op3_ngram_jaccard_join, op4_language_id, op5_embedding_near_dedup,
     op6_shard_assignment, op7_substring_dedup, op8_quality_rules, op9_token_matrices, op10_best_fit_packing,
-    op12_importance_resampling, op13_conversation_trie, pipeline)}
+    op11_nearest_neighbours, op12_importance_resampling, op13_conversation_trie, pipeline)}
 SQL = {
     "op1_mix_sources": sql.OP1, "op3_ngram_jaccard_join": sql.OP3, "op5_embedding_near_dedup": sql.OP5,
     "op6_shard_assignment": sql.OP6,
