@@ -34,3 +34,12 @@ def lines_where(*rules: tuple[Column, Column | str]) -> Column:
     """Array of the texts whose condition holds, in the order given."""
     texts = [F.when(condition, F.lit(text) if isinstance(text, str) else text) for condition, text in rules]
     return F.array_compact(F.array(*texts))
+
+
+def named_uuid(name: Column) -> Column:
+    """A UUID that follows from a name, laid out as version 5: the same name always gives the same one."""
+    h = F.sha1(name)
+    variant = F.substring(F.lit("89ab"), F.conv(F.substring(h, 17, 1), 16, 10).cast("int") % 4 + 1, F.lit(1))
+    return F.concat_ws(
+        "-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)),
+        F.concat(variant, F.substring(h, 18, 3)), F.substring(h, 21, 12))

@@ -76,7 +76,7 @@ def test_written_table_is_partitioned_and_pruned(spark, cases, tmp_path):
     serving.write_live_cases(cases, path)
     back = serving.read_live_cases(spark, path)
     assert back.schema == cases.schema and back.exceptAll(cases).count() == 0 and back.count() == 4
-    assert (tmp_path / "live" / "workflow_state=pending_review" / "abuse_risk_tier=HIGH").is_dir()
+    assert [p for p in tmp_path.glob("live/data/*/workflow_state=pending_review/abuse_risk_tier=HIGH") if p.is_dir()]
     page = queue.case_queue(back, status="pending_review", risk_tier="HIGH")
     plan = page._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(workflow_state" in plan
@@ -125,7 +125,7 @@ def test_feedback_is_checked_and_appended(spark, cases, tmp_path):
     path = str(tmp_path / "feedback")
     serving.append_feedback(submitted, path)
     serving.append_feedback(submitted.drop("submitted_at"), path)
-    log = spark.read.parquet(path)
+    log = serving.read_feedback(spark, path)
     assert log.columns == FEEDBACK_LOG.fieldNames()
     assert log.count() == 6 and log.select("feedback_id").distinct().count() == 6
     assert log.filter("submitted_at IS NULL").count() == 0
@@ -141,3 +141,24 @@ def test_actions_are_appended(spark, tmp_path):
     serving.append_actions(actions(spark, ("A", "approved", "ok", at(8)), ("A", "bogus", "ok", at(8))), path)
     serving.append_actions(actions(spark, ("B", "rejected", "ok", at(9))), path)
     assert sorted(r.refund_id for r in spark.read.parquet(path).collect()) == ["A", "B"]
+
+
+def test_a_batch_of_feedback_is_appended_once(spark, tmp_path):
+    row = dict(refund_id="A", feedback_type="missed_abuse", notes="n", submitted_at=at(8))
+    submitted = frame(spark, FEEDBACK_LOG, [row, row, row | dict(notes=None), row | dict(submitted_at=None)])
+    path = str(tmp_path / "feedback")
+    for _ in range(2):
+        serving.append_feedback(submitted.drop("feedback_id"), path, batch=1)
+    first = serving.read_feedback(spark, path).collect()
+    assert len(first) == 3 == len({r.feedback_id for r in first})
+    again = serving.new_feedback(submitted.drop("feedback_id")).collect()
+    assert {r.feedback_id for r in again} == {r.feedback_id for r in first}
+    with pytest.raises(ValueError):
+        serving.append_feedback(submitted, path, batch=0)
+
+
+def test_an_earlier_action_does_not_undo_a_later_one(spark, cases):
+    after = serving.apply_actions(cases, actions(spark, ("C", "rejected", "late", at(9))))
+    again = serving.apply_actions(after, actions(spark, ("C", "approved", "early", at(8)), ("B", "approved", "x", None)))
+    got = {r.refund_id: (r.workflow_state, r.csr_reason) for r in again.collect()}
+    assert got["C"] == ("rejected", "late") and got["B"] == ("approved", "x")
