@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from claimsift.operators import household
 from tests.frames import SETTINGS, day, source
@@ -101,3 +102,35 @@ def test_coordination_alone_equals_activity(spark):
         source(spark, "refund_requests", *requests), source(spark, "household_mappings", *members))
     got = household.household_coordination(household.household_day_sequence(days, SETTINGS)).first()
     assert tuple(got) == ("H", 2, True)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_segmented_days_equal_plain_ones(spark, seed, conf):
+    """All claims of few days in few households, so that most days are hot and reach over several tasks."""
+    conf(spark__sql__shuffle__partitions="7")
+    rng = random.Random(seed)
+    requests = [dict(refund_id=f"R{rng.randrange(400):03}", customer_id=rng.choice([None, 1, 1, 2, 3, 4]),
+                     request_date=rng.choice([day(1), day(2), day(2), None]), amount=1.0, reason_code="DAMAGED")
+                for _ in range(400)]
+    members = [dict(mapping_id=i, household_id=f"H{rng.randrange(3)}", customer_id=rng.randrange(1, 5)) for i in range(9)]
+    args = source(spark, "refund_requests", *requests), source(spark, "household_mappings", *members)
+    plain = household.household_days(*args)
+    for hot_day in (1, 60):
+        spread = household.household_days(*args, hot_day)
+        assert spread.columns == plain.columns
+        assert sorted(map(repr, spread.collect())) == sorted(map(repr, plain.collect()))
+
+
+def test_a_hot_day_is_compared_in_segments(spark, conf):
+    conf(spark__sql__shuffle__partitions="8")
+    requests = source(spark, "refund_requests", *claims(*[(1 + i % 3, 5) for i in range(800)]))
+    members = source(spark, "household_mappings", *homes(1, 2, 3))
+    dated = requests.select("refund_id", "customer_id", "request_date")
+    assert household.hot_days(dated, members.select("household_id", "customer_id"), 700) == [("H", day(5))]
+    assert household.hot_days(dated, members.select("household_id", "customer_id"), 801) == []
+    joined = dated.join(members.select("household_id", "customer_id"), "customer_id")
+    spread = joined.repartitionByRange(8, *household._DAY, "refund_id", "customer_id")
+    sizes = [r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 6 and max(sizes) < 300
+    plan = household._segmented(joined)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning(household_id" in plan and "segment" in plan
