@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from claimsift.functions.bands import banded
 from claimsift.functions.text import lines_where, listed, or_word, percent, quoted_list, true_false
 from claimsift.operators.keyed import HotKeys
-from claimsift.operators.queue import requested_cases, with_profile
+from claimsift.operators.queue import cases_of, few_ids, requested_cases, with_profile
 from claimsift.operators.serving import check_actions, check_feedback, valid_rows
 from claimsift.schemas import REPLY
 from claimsift.settings import ABUSE_TIERS, Settings
@@ -52,7 +52,8 @@ Respond with EXACTLY this JSON:
 "key_factors": ["factor1", "factor2"]}"""
 
 EXCERPT = 200
-_REPLY = "_reply"
+REPLY_EXCERPT = 500
+_REPLY, _UNPARSED = "_reply", "_unparsed"
 
 
 def _is_true(name: str) -> Column:
@@ -136,20 +137,28 @@ def parse_reply(raw: Column) -> Column:
 
 
 def parse_replies(replies: DataFrame) -> DataFrame:
+    """The fields of each reply, or the beginning of its text where it cannot be parsed."""
     parsed = replies.withColumn("reply", parse_reply(F.col("raw")))
-    return parsed.select("refund_id", F.col("reply").isNotNull().alias("parsed"), "reply.*")
+    return parsed.select("refund_id", F.col("reply").isNotNull().alias("parsed"), "reply.*",
+                         _beginning("reply").alias("unparsed_excerpt"))
+
+
+def _beginning(reply: str) -> Column:
+    return F.when(F.col(reply).isNull(), F.substring("raw", 1, REPLY_EXCERPT))
 
 
 def with_replies(cases: DataFrame, replies: DataFrame | None) -> DataFrame:
     """Adds the parsed reply of each case; ``replies`` holds (refund_id, raw) with at most one row per claim."""
     if replies is None:
-        return cases.withColumn(_REPLY, F.lit(None).cast(REPLY))
-    answers = replies.select("refund_id", parse_reply(F.col("raw")).alias(_REPLY))
+        return cases.withColumn(_REPLY, F.lit(None).cast(REPLY)).withColumn(_UNPARSED, F.lit(None).cast("string"))
+    answers = replies.withColumn(_REPLY, parse_reply(F.col("raw"))).select(
+        "refund_id", _REPLY, _beginning(_REPLY).alias(_UNPARSED))
     return cases.join(answers, "refund_id", "left")
 
 
 def with_recommendation(cases: DataFrame, replies: DataFrame | None = None) -> DataFrame:
-    """Step 4, answer: struct ``recommendation`` from the model's reply, or from the rules where there is none."""
+    """Step 4, answer: struct ``recommendation`` from the model's reply, or from the rules where there is none. The
+    beginning of a reply that cannot be parsed stands in for the explanation and is kept as ``unparsed_excerpt``."""
     if _REPLY not in cases.columns:
         cases = with_replies(cases, replies)
     signals = F.col("risk.signals")
@@ -157,11 +166,12 @@ def with_recommendation(cases: DataFrame, replies: DataFrame | None = None) -> D
     recommendation = F.struct(
         F.coalesce("_reply.action", "recommended_action", F.lit("ESCALATE")).alias("action"),
         F.coalesce("_reply.confidence", "risk.risk_score").alias("confidence"),
-        F.coalesce("_reply.explanation", explanation).alias("explanation"),
+        F.coalesce("_reply.explanation", _UNPARSED, explanation).alias("explanation"),
         F.coalesce("_reply.key_factors", signals).alias("key_factors"),
         F.col("_reply").isNull().alias("fallback"),
+        F.col(_UNPARSED).alias("unparsed_excerpt"),
     )
-    return cases.withColumn("recommendation", recommendation).drop(_REPLY)
+    return cases.withColumn("recommendation", recommendation).drop(_REPLY, _UNPARSED)
 
 
 def decide(
@@ -172,8 +182,9 @@ def decide(
 
     Replies are joined while the cases are still partitioned by claim, before the profiles move them to their customer.
     """
-    found = with_replies(requested_cases(cases, ids), replies)
-    detail = with_profile(found, cases, profiles, **hot)
+    few = few_ids(ids)
+    found = with_replies(cases_of(cases, ids, few), replies)
+    detail = with_profile(found, cases, profiles, few is not None, **hot)
     steps = with_risk(with_policy(with_validation(detail), settings))
     return with_recommendation(steps).select(
         "refund_id", "validation", "policy", "risk", "recommendation")
@@ -191,6 +202,7 @@ def decision_audit(decisions: DataFrame) -> DataFrame:
         F.col("validation.valid").alias("validation_passed"),
         F.col("policy.auto_approvable").alias("auto_approvable"),
         F.col("recommendation.fallback").alias("fallback"),
+        F.col("recommendation.unparsed_excerpt").alias("unparsed_excerpt"),
     )
 
 

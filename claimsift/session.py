@@ -7,12 +7,14 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Lists of ids that are looked up reach the Bloom filters of row groups only up to this many values.
 # Several joins in a row share a key, so a skewed one may only be split if the next is allowed to shuffle again.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
 }
 
 

@@ -104,13 +104,22 @@ def test_parse_reply(spark, raw, action):
 def test_recommendation(spark, asked):
     replies = spark.createDataFrame(list(REPLIES.items()), "refund_id string, raw string")
     got = by_id(decisions.with_recommendation(steps(asked), replies), "recommendation")
-    assert tuple(got["calm"]) == ("REJECT", 0.9, "why", ["a", "b"], False)
+    assert tuple(got["calm"]) == ("REJECT", 0.9, "why", ["a", "b"], False, None)
     assert got["loud"].fallback and got["loud"].action == "REJECT" and got["loud"].confidence == 0.85
-    assert got["loud"].explanation.startswith(
-        "Rule-based recommendation (LLM unavailable): ['Customer risk tier: CRITICAL', 'High refund rate: 40.5%', ")
-    assert tuple(got["bare"]) == ("ESCALATE", 0.0, "Rule-based recommendation (LLM unavailable): []", [], True)
+    assert got["loud"].explanation == got["loud"].unparsed_excerpt == REPLIES["loud"]
+    assert tuple(got["bare"]) == ("ESCALATE", 0.0, "nothing", [], True, "nothing")
     alone = by_id(decisions.with_recommendation(steps(asked)), "recommendation")
-    assert all(row.fallback for row in alone.values())
+    assert all(row.fallback and row.unparsed_excerpt is None for row in alone.values())
+    assert alone["loud"].explanation.startswith(
+        "Rule-based recommendation (LLM unavailable): ['Customer risk tier: CRITICAL', 'High refund rate: 40.5%', ")
+    assert alone["bare"].explanation == "Rule-based recommendation (LLM unavailable): []"
+
+
+def test_excerpts_of_replies(spark):
+    raws = ["x" * 600, REPLIES["calm"], "", None]
+    replies = spark.createDataFrame([(str(i), raw) for i, raw in enumerate(raws)], "refund_id string, raw string")
+    got = {r.refund_id: (r.parsed, r.unparsed_excerpt) for r in decisions.parse_replies(replies).collect()}
+    assert got == {"0": (False, "x" * 500), "1": (True, None), "2": (False, ""), "3": (False, None)}
 
 
 def test_audit(asked):
