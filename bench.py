@@ -23,7 +23,7 @@ CPUS = os.environ.get("BENCH_CPUS", "8")
 HEADLINE = (
     "latest_delivery", "enriched_requests", "customer_refund_history", "household_activity", "customer_360",
     "case_decisioning", "case_queue", "dashboard_kpis", "risk_distribution", "leakage_by_category", "refund_leakage",
-    "abuse_rate", "segment_summary", "escalation_by_segment", "top_abuse_customers", "apply_actions", "case_detail",
+    "abuse_rate", "segment_summary", "escalation_by_segment", "top_abuse_customers", "apply_actions", "case_detail", "case_detail_few",
     "decide", "decision_audit", "abuse_signals", "policy_checks", "feedback_enriched", "action_overrides",
 )
 

@@ -81,6 +81,11 @@ FEEDBACK_LOG = _struct(
     ("submitted_at", "timestamp"),
 )
 
+QUALITY_LOG = _struct(
+    ("run", "string"), ("run_at", "timestamp"), ("table_name", "string"), ("expectation", "string"), ("passed", "long"),
+    ("dropped", "long"),
+)
+
 REPLY = T.StructType([
     T.StructField("action", T.StringType()),
     T.StructField("confidence", T.DoubleType()),

@@ -8,12 +8,22 @@ from pyspark.sql.types import StringType, StructField, StructType
 from claimsift.schemas import SOURCES
 
 
-def read_source(spark: SparkSession, path: str, table: str, infer_schema: bool = False) -> DataFrame:
+#: Column of ``read_source`` with the raw line of a damaged row, NULL in all others.
+DAMAGED = "_damaged"
+
+
+def read_source(
+    spark: SparkSession, path: str, table: str, infer_schema: bool = False, with_damaged: bool = False,
+) -> DataFrame:
     """The table ``table`` from a CSV file or a directory of CSV files at ``path``.
 
     Columns are bound by the names in the header: any order will do, columns the table does not have are left out, and
     a missing one raises. Files of one directory whose headers differ raise when they are read. The fixed types spare
     the pass over the files that inference costs; only a header is read ahead.
+
+    A value that cannot be read as its type is NULL. ``with_damaged`` adds the raw line of rows that have one, or that have
+    too few or too many fields, as the column ``DAMAGED``; read all columns with it, since fields that are not read are not
+    looked at.
     """
     reader = spark.read.option("header", True)
     if infer_schema:
@@ -25,7 +35,11 @@ def read_source(spark: SparkSession, path: str, table: str, infer_schema: bool =
         raise ValueError(f"{path} lacks the columns {', '.join(missing)} of {table}")
     known = set(wanted.fieldNames())
     schema = StructType([wanted[name] if name in known else StructField(name, StringType()) for name in header])
-    return reader.schema(schema).option("enforceSchema", False).csv(path).select(*wanted.fieldNames())
+    if with_damaged:
+        schema.add(DAMAGED, StringType())
+        reader = reader.option("columnNameOfCorruptRecord", DAMAGED)
+    columns = [*wanted.fieldNames(), *([DAMAGED] if with_damaged else [])]
+    return reader.schema(schema).option("enforceSchema", False).csv(path).select(*columns)
 
 
 def write_source(df: DataFrame, path: str) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from oracle.sources import SOURCES
-from oracle.tables import TABLES, counted, exact, money, score_sum, share
+from oracle.tables import AS_OF, TABLES, counted, exact, money, score_sum, share
 
 PARTS = SOURCES | TABLES
 
@@ -26,11 +26,27 @@ MEAN_SCORE = exact(f"{score_sum()} / count(risk_score)")
 LEAKAGE = money("CASE WHEN recommended_action = 'REJECT' THEN amount ELSE 0 END")
 WATCHED = "risk_tier IN ('HIGH', 'CRITICAL')"
 
+ACTED = f"""
+        SELECT {LIVE}, csr_action, csr_reason, csr_acted_at, CAST(NULL AS VARCHAR) AS ai_explanation,
+               workflow_state IN ('approved', 'rejected', 'escalated') AS is_actioned
+        FROM acted"""
+
+FEW = "SELECT refund_id FROM refund_requests ORDER BY refund_id LIMIT 10"
+AUDIT = """
+        SELECT refund_id, risk_score, risk_tier, action AS recommended_action, confidence, num_abuse_signals,
+               valid AS validation_passed, auto_approvable, fallback, unparsed_excerpt FROM decided"""
+DETAIL = """
+        SELECT refund_id, customer_id, amount, risk_score, recommended_action, workflow_state,
+               household_id AS case_household_id, c360_risk_tier, c360_refund_rate, c360_refunds_90d,
+               c360_total_refunds, c360_household_id, c360_household_refund_count_30d, c360_coordinated_timing_flag,
+               c360_household_total_refund_amount
+        FROM asked"""
+
 # The rules of the source tables, as (table, rule, condition).
 RULES = [
     ("refund_requests", "valid_refund_id", "refund_id IS NOT NULL"),
     ("refund_requests", "valid_amount", "amount IS NOT NULL AND amount > 0"),
-    ("refund_requests", "countable_amount", "amount IS NULL OR amount < 1e9"),
+    ("refund_requests", "countable_amount", "amount IS NULL OR isfinite(amount)"),
     ("order_history", "valid_order_id", "order_id IS NOT NULL"),
     ("customer_profiles", "valid_customer_id", "customer_id IS NOT NULL"),
     ("household_mappings", "valid_household_id", "household_id IS NOT NULL"),
@@ -65,6 +81,16 @@ _warnings = [
      "'Return window gaming: day ' || days_since_order || ' of 30'", "'medium'"),
 ]
 
+_reasons = ("refund_rate_score", "frequency_score", "amount_score", "household_score", "delivery_score", "policy_score",
+            "within_return_window", "delivery_confirmed", "days_since_order")
+
+# A run of the quality rules a month before the as-of date, and one at it.
+_counted_runs = [
+    f"SELECT strftime({day}, '%Y-%m-%d') AS run, CAST({day} AS TIMESTAMP) AS run_at, '{table}' AS table_name, "
+    f"'{rule}' AS expectation, {counted(condition)} AS passed, {counted(f'({condition}) IS NOT TRUE')} AS dropped FROM {table}"
+    + (f" WHERE request_date <= {day} OR request_date IS NULL" if table == "refund_requests" else "")
+    for day in (f"CAST({AS_OF} - 30 AS DATE)", AS_OF) for table, rule, condition in RULES if table in SOURCES]
+
 QUERIES = {
     "bronze_requests": "SELECT * FROM refund_requests WHERE refund_id IS NOT NULL AND amount > 0",
     "bronze_orders": "SELECT * FROM order_history WHERE order_id IS NOT NULL",
@@ -79,6 +105,17 @@ QUERIES = {
     "expectation_report": " UNION ALL ".join(
         f"SELECT '{table}' AS table_name, '{rule}' AS expectation, {counted(condition)} AS passed, "
         f"{counted(f'({condition}) IS NOT TRUE')} AS dropped FROM {table}" for table, rule, condition in RULES),
+    "quality_changes": f"""
+        SELECT *, lag(run) OVER w AS previous_run, passed - lag(passed) OVER w AS passed_change,
+               dropped - lag(dropped) OVER w AS dropped_change,
+               CAST(CAST(dropped_pct - lag(dropped_pct) OVER w AS DECIMAL(18, 3)) AS DOUBLE) AS pct_change
+        FROM (SELECT *, CASE WHEN passed + dropped > 0 THEN {share('dropped', '(passed + dropped)', 3, 100)} ELSE 0.0::DOUBLE END
+                  AS dropped_pct FROM ({' UNION ALL '.join(_counted_runs)}) AS counted) AS shares
+        WINDOW w AS (PARTITION BY table_name, expectation ORDER BY run_at)""",
+    "damaged_claims": """
+        SELECT refund_id, k % 7 <> 0 AND k % 11 <> 0 AS kept, CASE WHEN k % 7 = 0 OR k % 11 = 0 THEN
+               refund_id || ',' || coalesce(order_id, '') || ',' || coalesce(customer_id::VARCHAR, '') END AS began
+        FROM numbered_requests""",
     "latest_delivery": "SELECT * FROM latest_delivery",
     "enriched_requests": "SELECT * FROM enriched_requests",
     "customer_refund_history": "SELECT * FROM customer_refund_history",
@@ -91,6 +128,11 @@ QUERIES = {
                      CAST(count(*) FILTER (WHERE coord_flag) AS BIGINT) AS coordinated
               FROM household_sequence GROUP BY household_id, request_date) d
           ON d.household_id = f.household_id AND d.request_date = f.request_date""",
+    "history_from_days": "SELECT * FROM customer_refund_history",
+    "household_totals_from_days": """
+        SELECT household_id, household_members_with_refunds, household_total_refunds, household_refund_count_30d,
+               household_total_refund_amount, household_reason_codes FROM household_activity""",
+    "household_coordination_segmented": "SELECT * FROM household_coordination",
     "household_coordination": "SELECT * FROM household_coordination",
     "household_activity": "SELECT * FROM household_activity",
     "customer_360": "SELECT * FROM customer_360",
@@ -101,6 +143,8 @@ QUERIES = {
         SELECT refund_id, household_id, risk_score, refund_rate_score, frequency_score, amount_score, household_score,
                delivery_score, policy_score, within_return_window, delivery_confirmed, days_since_order
         FROM scored_cases""",
+    "reasons_text": "SELECT refund_id, household_id, '{' || concat_ws(',', " + ", ".join(
+        f"""'"{name}":' || {name}::VARCHAR""" for name in _reasons) + ") || '}' AS recommendation_reasons_json FROM scored_cases",
     "segment_summary": "SELECT * FROM segment_summary",
     "live_cases": f"SELECT {LIVE}, {NO_REVIEW} FROM live",
     "live_cases_write": f"SELECT {LIVE}, {NO_REVIEW} FROM live",
@@ -108,10 +152,9 @@ QUERIES = {
         SELECT *, problem IS NULL AS is_valid
         FROM (SELECT *, CASE WHEN action NOT IN ('approved', 'rejected', 'escalated') THEN 'unknown action'
                              WHEN trim(reason) = '' THEN 'blank reason' END AS problem FROM actions)""",
-    "apply_actions": f"""
-        SELECT {LIVE}, csr_action, csr_reason, csr_acted_at, CAST(NULL AS VARCHAR) AS ai_explanation,
-               workflow_state IN ('approved', 'rejected', 'escalated') AS is_actioned
-        FROM acted""",
+    "apply_actions": ACTED,
+    "cases_reviewed": ACTED,
+    "cases_folded": ACTED,
     "action_overrides": """
         SELECT a.refund_id, a.action, a.acted_at, substr(a.reason, 1, 200) AS reason_excerpt,
                l.refund_id IS NOT NULL AS found, lower(coalesce(l.recommended_action, '')) AS ai_recommended,
@@ -127,7 +170,10 @@ QUERIES = {
         FROM (SELECT *, CASE WHEN feedback_type NOT IN ('false_positive', 'missed_abuse') THEN 'unknown type'
                              WHEN trim(refund_id) = '' THEN 'blank refund_id' END AS problem FROM feedback)""",
     "feedback_append": """
-        SELECT refund_id, feedback_type, notes, submitted_at, TRUE AS has_id FROM feedback
+        SELECT h[1:8] || '-' || h[9:12] || '-5' || h[14:16] || '-' || '89ab'[('0x' || h[17])::INTEGER % 4 + 1] || h[18:20]
+               || '-' || h[21:32] AS feedback_id, refund_id, feedback_type, notes, submitted_at
+        FROM (SELECT *, sha1(concat_ws(chr(10), length(refund_id), refund_id, feedback_type,
+                             strftime(submitted_at, '%Y-%m-%d %H:%M:%S.%f'), notes)) AS h FROM feedback)
         WHERE feedback_type <> 'other'""",
     "feedback_recent": """
         SELECT * FROM feedback WHERE feedback_type <> 'other'
@@ -142,16 +188,14 @@ QUERIES = {
         WHERE f.feedback_type <> 'other'""",
     "case_queue": f"""
         SELECT {QUEUE} FROM live ORDER BY risk_score DESC, refund_id, household_id NULLS LAST LIMIT 200 OFFSET 50""",
+    "case_queue_skipping": f"""
+        SELECT {QUEUE} FROM live ORDER BY risk_score DESC, refund_id, household_id NULLS LAST LIMIT 200 OFFSET 50""",
     "case_queue_filtered": f"""
         SELECT {QUEUE} FROM live
         WHERE workflow_state = 'pending_review' AND abuse_risk_tier = 'HIGH' AND channel = 'online'
         ORDER BY risk_score DESC, refund_id, household_id NULLS LAST LIMIT 50""",
-    "case_detail": """
-        SELECT refund_id, customer_id, amount, risk_score, recommended_action, workflow_state,
-               household_id AS case_household_id, c360_risk_tier, c360_refund_rate, c360_refunds_90d,
-               c360_total_refunds, c360_household_id, c360_household_refund_count_30d, c360_coordinated_timing_flag,
-               c360_household_total_refund_amount
-        FROM asked""",
+    "case_detail": DETAIL,
+    "case_detail_few": f"SELECT * FROM ({DETAIL}) AS detail WHERE refund_id IN ({FEW})",
     "dashboard_kpis": "SELECT * FROM kpis",
     "dashboard_rates": f"""
         SELECT total_cases, pending_count,
@@ -200,6 +244,12 @@ QUERIES = {
                coordinated_timing_flag, household_id
         FROM customer_360 WHERE {WATCHED}
         ORDER BY refund_rate DESC, customer_id, household_id NULLS LAST LIMIT 20""",
+    "catalog_tables": " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, '{layer}' AS layer, count(*) AS n FROM {table}" for name, layer, table in (
+            *[(t, "bronze", t) for t in COUNTED if t in SOURCES],
+            *[(t, "silver", t) for t in ("latest_delivery", "enriched_requests", "customer_refund_history", "household_activity")],
+            ("customer_360", "gold", "customer_360"), ("segment_summary", "gold", "segment_summary"),
+            ("case_decisioning", "gold", "scored_cases"))),
     "table_counts": " UNION ALL ".join(
         [f"SELECT '{table}' AS table_name, count(*) AS row_count FROM {table}" for table in COUNTED]
         + [f"SELECT '{name}', count(*) FROM scored_cases" for name in ("case_decisioning", "live_cases")]),
@@ -234,10 +284,9 @@ Respond with EXACTLY this JSON:
         FROM (SELECT * EXCLUDE (risk_score) FROM asked) JOIN validation USING (refund_id) JOIN policy USING (refund_id)
         JOIN risk USING (refund_id)""",
     "parse_replies": "SELECT * FROM parsed",
-    "decide": "SELECT * EXCLUDE (num_abuse_signals) FROM decided",
-    "decision_audit": """
-        SELECT refund_id, risk_score, risk_tier, action AS recommended_action, confidence, num_abuse_signals,
-               valid AS validation_passed, auto_approvable, fallback FROM decided""",
+    "decide": "SELECT * EXCLUDE (num_abuse_signals, unparsed_excerpt) FROM decided",
+    "decision_audit": AUDIT,
+    "decision_audit_few": f"{AUDIT} WHERE refund_id IN ({FEW})",
     "policy_checks": " UNION ALL ".join(
         f"SELECT refund_id, '{label}' AS label, {passed} AS passed, {detail} AS detail FROM live_per_request"
         for label, passed, detail in _checks),

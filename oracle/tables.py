@@ -222,22 +222,24 @@ TABLES = {
         SELECT refund_id, j IS NOT NULL AS parsed, j ->> '$.action' AS action,
                CAST(j ->> '$.confidence' AS DOUBLE) AS confidence, j ->> '$.explanation' AS explanation,
                CASE WHEN j IS NOT NULL THEN (j ->> '$.key_factors[0]') || ' | ' || (j ->> '$.key_factors[1]') END
-                   AS key_factors
-        FROM (SELECT refund_id, CASE WHEN contains(raw, '{') THEN
+                   AS key_factors,
+               CASE WHEN j IS NULL THEN substr(raw, 1, 500) END AS unparsed_excerpt
+        FROM (SELECT refund_id, raw, CASE WHEN contains(raw, '{') THEN
                   CAST(substr(raw, strpos(raw, '{'), length(raw) - strpos(reverse(raw), '}') - strpos(raw, '{') + 2)
                        AS JSON) END AS j
               FROM replies)""",
     "decided": """
         SELECT v.*, p.auto_approvable, p.policy_flags, k.risk_score, k.risk_tier, k.signals,
                coalesce(a.action, s.recommended_action) AS action, coalesce(a.confidence, k.risk_score) AS confidence,
-               coalesce(a.explanation, 'Rule-based recommendation (LLM unavailable): [' || concat_ws(', ',
+               coalesce(a.explanation, u.unparsed_excerpt, 'Rule-based recommendation (LLM unavailable): [' || concat_ws(', ',
                    '''' || s1 || '''', '''' || s2 || '''', '''' || s3 || '''', '''' || s4 || '''',
                    '''' || s5 || '''') || ']') AS explanation,
-               coalesce(a.key_factors, k.signals) AS key_factors, a.refund_id IS NULL AS fallback,
+               coalesce(a.key_factors, k.signals) AS key_factors, a.refund_id IS NULL AS fallback, u.unparsed_excerpt,
                CAST((s1 IS NOT NULL)::INT + (s2 IS NOT NULL)::INT + (s3 IS NOT NULL)::INT + (s4 IS NOT NULL)::INT
                     + (s5 IS NOT NULL)::INT AS BIGINT) AS num_abuse_signals
         FROM validation v JOIN policy p USING (refund_id) JOIN risk k USING (refund_id) JOIN signals s USING (refund_id)
-        LEFT JOIN (SELECT * FROM parsed WHERE parsed) a USING (refund_id)""",
+        LEFT JOIN (SELECT * FROM parsed WHERE parsed) a USING (refund_id)
+        LEFT JOIN (SELECT * FROM parsed WHERE NOT parsed) u USING (refund_id)""",
     "kpis": f"""
         SELECT count(*) AS total_cases, {counted("workflow_state = 'pending_review'")} AS pending_count,
                {counted("workflow_state = 'auto_approved'")} AS auto_approved_count,

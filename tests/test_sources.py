@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimsift.operators import quality
-from claimsift.plans.tables import TABLES, build_all
+from claimsift.plans.tables import TABLES, Workspace, build_all
 from claimsift.schemas import LIVE_CASES, SOURCES
 from claimsift.sources import testdata
 from claimsift.sources.csv_files import read_source, source_path, write_source
@@ -59,7 +59,7 @@ def test_expectations_drop_and_report(spark):
     assert [row.refund_id for row in quality.apply_expectations(df, rules).collect()] == ["R1"]
     report = {row.expectation: (row.passed, row.dropped)
               for row in quality.expectation_report({"refund_requests": df}).collect()}
-    assert report == {"valid_refund_id": (4, 2), "valid_amount": (2, 4)}
+    assert report == {"valid_refund_id": (4, 2), "valid_amount": (2, 4), "countable_amount": (6, 0)}
 
 
 def test_unreadable_values_are_dropped_by_the_rules(spark, tmp_path):
@@ -156,3 +156,48 @@ def test_columns_are_bound_by_header(spark, tmp_path):
     file.write_text(",".join(names[1:]) + "\n")
     with pytest.raises(ValueError, match=names[0]):
         read_source(spark, str(file), "household_mappings")
+
+
+def test_damaged_rows_are_kept_aside(spark, tmp_path):
+    header = "refund_id,order_id,customer_id,reason_code,amount,channel,request_date,item_condition"
+    good = ["R1,O1,1,DAMAGED,5.5,online,2025-03-01,used", "R5,,,DAMAGED,5.5,online,,", ",O1,1,DAMAGED,5.5,online,2025-03-01,used"]
+    damaged = ["R2,O1,1,DAMAGED,five,online,2025-03-01,used", "R3,O1,1,DAMAGED,5.5,online,someday,used", "R4,O1,1,DAMAGED",
+               "R6,O1,1,DAMAGED,5.5,online,2025-03-01,used,more", '"R7,O1"x,1,DAMAGED,5.5,online,2025-03-01,used']
+    (tmp_path / "refund_requests.csv").write_text("\n".join([header, *good, *damaged]))
+    run = Workspace(spark, lambda name: str(tmp_path / f"{name}.csv"), str(tmp_path / "out"), Settings(as_of=testdata.AS_OF))
+    kept, rejects = run.table("refund_requests"), run.rejects("refund_requests")
+    assert sorted(r.refund_id for r in kept.collect()) == ["R1", "R5"] and kept.columns == SOURCES["refund_requests"].fieldNames()
+    lines = {r.line: r for r in rejects.collect()}
+    assert set(damaged[:4]) <= set(lines) and len(lines) == 5
+    assert lines[damaged[1]].read_as.refund_id == "R3" and lines[damaged[1]].read_as.request_date is None
+    assert all(r.file.endswith("refund_requests.csv") for r in lines.values())
+    counts = run.dropped["refund_requests"].get
+    assert counts["rows"] == 8 and counts["readable_row"] == 5
+
+
+def test_sources_without_damage_have_no_rejects(built):
+    assert built.dropped["refund_requests"].get["readable_row"] == 0
+    assert built.rejects("refund_requests").isEmpty() and built.rejects("refund_requests").columns == ["file", "line", "read_as"]
+
+
+def test_quality_is_logged_once_per_run(spark, built, tmp_path):
+    log = str(tmp_path / "quality")
+    for run, day in (("first", 1), ("first", 1), ("second", 2)):
+        built.log_quality(log, run, dt.datetime(2025, 3, day))
+    rows = quality.read_quality(spark, log)
+    assert rows.groupBy("run").count().count() == 2
+    assert rows.groupBy("run", "table_name", "expectation").count().filter("count > 1").isEmpty()
+    first = rows.filter("run = 'first' AND table_name = 'refund_requests'").collect()
+    assert {r.expectation: (r.passed, r.dropped) for r in first} == {
+        "readable_row": (513, 0), "valid_refund_id": (511, 2), "valid_amount": (510, 3), "countable_amount": (513, 0)}
+
+
+def test_quality_changes(spark):
+    at = [dt.datetime(2025, 3, day) for day in (1, 2, 3)]
+    log = spark.createDataFrame(
+        [("a", at[0], "t", "r", 90, 10), ("c", at[2], "t", "r", 0, 0), ("b", at[1], "t", "r", 150, 50),
+         ("b", at[1], "t", "new", 200, 0)], quality.QUALITY_LOG)
+    got = {(r.run, r.expectation): (r.dropped_pct, r.previous_run, r.passed_change, r.dropped_change, r.pct_change)
+           for r in quality.quality_changes(log).collect()}
+    assert got == {("a", "r"): (10.0, None, None, None, None), ("b", "r"): (25.0, "a", 60, 40, 15.0),
+                   ("c", "r"): (0.0, "b", -150, -50, -25.0), ("b", "new"): (0.0, None, None, None, None)}
