@@ -33,7 +33,8 @@ class Graph:
     """``neighbours``: length of a list. ``sample``: new and old entries of a list, and of those that list a node, that meet
     in a round. ``orders`` random sortings cut into blocks of ``block`` give the first lists. Building ends after ``rounds``
     or once fewer than ``least_change`` of the entries change. ``beam`` nodes are kept per query and ``step`` opened at a
-    time; the best ``exact`` are compared by the vectors. ``per_part``: nodes in a part, on average."""
+    time; the best ``exact`` are compared by the vectors. A part has ``per_part`` nodes at most, on average, and not many
+    fewer than ``least_part``, since every part may write to every other."""
 
     neighbours: int = 24
     sample: int = 12
@@ -45,6 +46,7 @@ class Graph:
     step: int = 80
     exact: int = 32
     per_part: int = 20_000
+    least_part: int = 500
     seed: int = 11
 
 
@@ -576,7 +578,7 @@ def nearest_neighbours(vectors: DataFrame, wanted: str = "vec_id % 50 = 0", k: i
     pairs = None
     for size, total in nodes.groupBy(F.octet_length("vec")).count().collect():  # one row per dimension
         mine = F.octet_length("vec") == size
-        count = max(parts(spark), -(-total // graph.per_part))
+        count = max(min(parts(spark), -(-total // graph.least_part)), -(-total // graph.per_part))
         lists = build_graph(nodes.filter(mine), size // 8, count, total, graph)
         here = search(lists, asking.filter(mine).select("node").distinct(), count, graph)
         pairs = here if pairs is None else pairs.unionByName(here)
