@@ -14,7 +14,7 @@ QUERIES, SQL = queries.queries(), queries.oracle_sql()
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
-    for name in ("documents", "embeddings"):
+    for name in ("documents", "embeddings", "benchmark", "conversations"):
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF_DIR}/{name}.parquet'")
     return connection
 
@@ -29,8 +29,8 @@ def test_query_equals_sql(spark, duck, name):
     assert expected
 
 
-def test_all_ten_and_the_pipeline_are_registered():
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)} | {"pipeline"}
+def test_all_operators_and_the_pipeline_are_registered():
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)} | {"pipeline"}
 
 
 def test_license_scan_of_rows_without_an_id(spark, tmp_path):
