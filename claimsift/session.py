@@ -28,9 +28,9 @@ def tune(spark: SparkSession) -> SparkSession:
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``; a temporary one where a local session names none, as in tests. On a
-    cluster, where executors do not share such a folder, the setting is required."""
+    cluster, where executors do not share such a folder, and where the master is not known, the setting is required."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root and not spark.conf.get("spark.master", "local").startswith("local"):
+    if not root and not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     root = root or tempfile.mkdtemp(prefix="claimsift-")
     return f"{root.rstrip('/')}/claimsift/{purpose}-{uuid.uuid4().hex}"

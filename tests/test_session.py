@@ -15,3 +15,5 @@ def test_shared_folder():
     assert folder(master="local[8]") != folder(master="local[8]")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         folder(master="yarn")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        folder()
