@@ -262,7 +262,7 @@ def action_overrides(actions: DataFrame, cases: DataFrame, **hot: int) -> DataFr
     same_as = F.create_map(*[F.lit(w) for pair in (
         ("approve", "approved"), ("reject", "rejected"), ("escalate", "escalated")) for w in pair])
     normalised = F.coalesce(F.try_element_at(same_as, F.col("ai_recommended")), F.col("ai_recommended"))
-    joined = HotKeys(actions, "refund_id", **hot).lookup(rows, context, "acted_at", "action", "reason")
+    joined = HotKeys(rows, "refund_id", **hot).lookup(rows, context, "acted_at", "action", "reason")
     return joined.withColumn("ai_recommended", advised).select(
         "refund_id", "action", "acted_at",
         F.substring("reason", 1, EXCERPT).alias("reason_excerpt"),
@@ -280,7 +280,7 @@ def feedback_enriched(feedback: DataFrame, cases: DataFrame, **hot: int) -> Data
     rows = valid_rows(check_feedback(feedback))
     words = ("abuse_risk_tier", "recommended_action", "reason_code", "channel", "product_category")
     context = _case_context(cases, rows, "customer_id", "risk_score", "amount", *words)
-    joined = HotKeys(feedback, "refund_id", **hot).lookup(rows, context, "submitted_at", "feedback_type", "notes")
+    joined = HotKeys(rows, "refund_id", **hot).lookup(rows, context, "submitted_at", "feedback_type", "notes")
     return joined.select(
         "refund_id", "feedback_type", "submitted_at",
         F.substring("notes", 1, EXCERPT).alias("notes_excerpt"),

@@ -38,7 +38,9 @@ def household_days(requests: DataFrame, households: DataFrame, hot_day: int = HO
     hot = hot_days(dated, members, hot_day)
     if not hot:
         return _compared(claims, [])
-    listed = F.broadcast(dated.sparkSession.createDataFrame(hot, claims.select(*_DAY).schema))  # at most MOST_HOT rows
+    kinds = [claims.schema[c].dataType for c in _DAY]
+    rows = [F.struct(*[F.lit(v).cast(kind).alias(c) for c, v, kind in zip(_DAY, row, kinds)]) for row in hot]
+    listed = F.broadcast(dated.sparkSession.range(1).select(F.inline(F.array(*rows))))  # at most MOST_HOT rows
     is_hot = [claims[c].eqNullSafe(listed[c]) for c in _DAY]
     plain = _compared(claims.join(listed, is_hot, "left_anti"), [])
     return plain.unionByName(_segmented(claims.join(listed, is_hot, "left_semi")))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from claimsift.functions.bands import banded, score_tier, workflow_state
 from claimsift.functions.text import named_uuid
 from claimsift.operators.keyed import first_per_key
+from claimsift.operators.queue import few_ids
 from claimsift.schemas import ACTION_LOG, FEEDBACK_LOG, LIVE_CASES
 from claimsift.settings import ACTIONS, FEEDBACK_TYPES
 from claimsift.sources.batches import BatchLog
@@ -132,8 +133,10 @@ def fold_actions(table: SnapshotTable, log: DataFrame, most_folders: int = 8) ->
     last = fresh.agg(F.max("batch")).first()[0]
     if last is None:
         return before
-    rows = table.read(before)
-    changed = rows.join(latest_actions(fresh), "refund_id").filter(_supersedes()).select(*PARTITIONS).distinct()
+    rows, latest = table.read(before), latest_actions(fresh)
+    few = few_ids(latest)
+    acted = rows if few is None else rows.filter(F.col("refund_id").isin(few))  # only row groups that may hold them
+    changed = acted.join(latest, "refund_id").filter(_supersedes()).select(*PARTITIONS).distinct()
     touched = {table.folder_of(row) for row in changed.collect()}  # at most one row per state and tier
     touched |= {name for name, writes in before.folders.items() if len(writes) > most_folders}
     folders = {name: writes for name, writes in before.folders.items() if name not in touched}
