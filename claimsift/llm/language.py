@@ -15,8 +15,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from claimsift.llm.common import U64, ready, staged
-from claimsift.llm.words import CHUNK_BYTES, Chunk, chunks, flat_ranges, mix, span_hashes
+from claimsift.llm.common import U64, lean, ready, staged
+from claimsift.llm.words import Chunk, chunks, flat_ranges, mix, span_hashes
 
 UNKNOWN = "und"
 BUCKETS = 1 << 16
@@ -25,7 +25,9 @@ BLOCK = 64
 #: Least documents and sequences that a language is learned from, where it has them.
 LEAST = 40
 #: Numbers per array, about, in work that grows with the languages.
-CELLS = 8_000_000
+CELLS = 2_000_000
+#: Bytes of text labelled at a time with up to eight languages, fewer with more: the arrays take some hundred times as much.
+LABELLED_BYTES = 400_000
 
 
 @dataclass(frozen=True)
@@ -295,8 +297,17 @@ def training_sample(docs: DataFrame, doc_id: str, text: str, lang: str, training
     def first(rows: DataFrame, most: int, *order: str) -> DataFrame:
         return rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= most)
 
-    # Hashes alone first, so that no text is sorted but those of the sample.
-    tops = staged(first(known.select("lang", "h"), training.documents, "h"), "sample")
+    # Hashes alone first, so that no text is sorted but those of the sample; and of a language with many documents only the
+    # least ones, about four times as many as are taken, so that no task sorts what every task has of it.
+    hashes = known.select("lang", "h")
+    totals = staged(hashes.groupBy("lang").agg(F.count("*").alias("n")), "totals")
+    share = totals.select("lang", (F.lit(4.0 * training.documents) / F.col("n")).alias("share"))
+    bound = (F.least("share", F.lit(0.999)) * F.lit(2.0**64) - F.lit(2.0**63)).cast("long")
+    few = hashes.join(share, "lang").filter(F.when(F.col("share") >= 1, True).otherwise(F.col("h") < bound)).select("lang", "h")
+    tops = staged(first(few, training.documents, "h"), "sample")
+    got = totals.join(tops.groupBy("lang").agg(F.count("*").alias("got")), "lang", "left")
+    if not got.filter(F.coalesce("got", F.lit(0)) < F.least("n", F.lit(training.documents))).isEmpty():
+        tops = staged(first(hashes, training.documents, "h"), "sample")  # ids that repeat very often have few hashes
     languages = tops.select("lang").distinct().count()
     if not languages:
         return []
@@ -315,7 +326,7 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
     half; without a model that is 1 for any text with a letter. Columns of these names in the input are replaced."""
     docs = docs.drop("lang_pred", "score", "spans", "in_language")
     place = docs.columns.index(text)
-    at_most = CHUNK_BYTES * 8 // max(8, len(model.languages) if model else 0)
+    at_most = LABELLED_BYTES * 8 // max(8, len(model.languages) if model else 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -328,7 +339,7 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
     for f in schema.fields:
         f.nullable = True
     names = schema.fieldNames()
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 SPAN = pa.struct([("lang", pa.string()), ("first", pa.int64()), ("words", pa.int64())])

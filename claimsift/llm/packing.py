@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, types as T
 
-from claimsift.llm.common import ready
+from claimsift.llm.common import lean, ready
 from claimsift.llm.tokens import Encoder, default_vocabulary, id_array, with_end
 from claimsift.llm.words import chunks
 
@@ -174,7 +174,7 @@ def pack_bounded(docs: DataFrame, text: str = "text", packing: Packing = Packing
                     pa.array(start.astype(np.int64)), pa.array(length.astype(np.int64)), id_array(ids, length),
                     pa.array(sequence), pa.array(offset)], names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 PACKED = ("sequence_id long, n_tokens long, ids binary, cu_seqlens array<int>, positions_reset array<int>, "
@@ -238,4 +238,4 @@ def pack_decreasing(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         if block[0]:
             yield packed(*block, first)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lean(run), schema)

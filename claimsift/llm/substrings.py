@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from claimsift.llm.common import U64, expand, pack, parts, ready, squeeze, staged, unpack
+from claimsift.llm.common import U64, expand, lean, lean_group, lean_groups, pack, parts, ready, squeeze, staged, unpack
 from claimsift.llm.fmindex import FMIndex, joined_text, matching_windows
 from claimsift.llm.words import Chunk, chunks, flat_ranges, mix, sequence_hashes
 
@@ -130,7 +130,7 @@ def _chunked(docs: DataFrame, text: str, window: int) -> DataFrame:
                     ["chunk", "content", "keys"])
                 number += 1
 
-    return docs.mapInArrow(run, "chunk long, content binary, keys binary")
+    return docs.mapInArrow(lean(run), "chunk long, content binary, keys binary")
 
 
 def _dealt(table: DataFrame, ranges: int) -> DataFrame:
@@ -141,7 +141,7 @@ def _dealt(table: DataFrame, ranges: int) -> DataFrame:
             for number, keys in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 yield _rows(number, _keyed(*unpack(keys), ranges))
 
-    return table.mapInArrow(run, "part int, chunk long, packed binary")
+    return table.mapInArrow(lean(run), "part int, chunk long, packed binary")
 
 
 def _repeated(table: pa.Table) -> pa.Table:
@@ -370,18 +370,20 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     content = chunked.select("chunk", "content").groupBy("chunk")
 
     def twice(dealt: DataFrame) -> DataFrame:
-        return dealt.groupBy("part").applyInArrow(_repeated, "chunk long, packed binary")
+        return dealt.groupBy("part").applyInArrow(lean_group(_repeated), "chunk long, packed binary")
 
     found = twice(_dealt(chunked.select("chunk", "keys"), ranges))
     parcels = staged(content.cogroup(found.groupBy("chunk")).applyInArrow(
-        _cut(doc_id, text, window, ranges, hot), PARCEL), "segments")
+        lean_groups(_cut(doc_id, text, window, ranges, hot)), PARCEL), "segments")
     to_shards = parcels.filter("kind = 0")
     windows = parcels.filter("kind = 1").select("part", "chunk", "packed")
     if not windows.isEmpty():
         more = content.cogroup(twice(windows).groupBy("chunk")).applyInArrow(
-            _cut_windows(doc_id, text, window, ranges), PARCEL)
+            lean_groups(_cut_windows(doc_id, text, window, ranges)), PARCEL)
         to_shards = to_shards.union(more)
-    answers = to_shards.groupBy("part").applyInArrow(_searched(window), "chunk long, kind int, packed binary")
+    answers = to_shards.groupBy("part").applyInArrow(
+        lean_group(_searched(window)), "chunk long, kind int, packed binary")
     schema = T.StructType([*docs.schema.fields, T.StructField("n_words", T.LongType()),
                            T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])
-    return content.cogroup(answers.groupBy("chunk")).applyInArrow(_rest(doc_id, text, window, schema), schema)
+    return content.cogroup(answers.groupBy("chunk")).applyInArrow(
+        lean_groups(_rest(doc_id, text, window, schema)), schema)
