@@ -35,12 +35,17 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near copies, once if its row repeats. Rows without an id
-    stay where no document with an id has their text or a near copy of it; of equal ones, one does."""
+    """Keeps the document with the smallest id of each group of near copies. Of rows that share id and text the one whose
+    other columns come first in order stays, nulls before all else. Rows without an id stay where no document with an id has
+    their text or a near copy of it; of equal ones, one does."""
     members = jaccard.near_duplicates(docs)
     stays = members.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     kept = docs.alias("d").join(stays.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "text"])
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    if not others:
+        return kept.distinct()
+    first = kept.groupBy("doc_id", "text").agg(F.min(F.struct(*[F.col(f"`{c}`") for c in others])).alias("_first"))
+    return first.select(*[F.col(f"_first.`{c}`").alias(c) if c in others else F.col(f"`{c}`") for c in docs.columns])
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
