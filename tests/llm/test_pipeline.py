@@ -128,3 +128,17 @@ def test_language_stage_keeps_texts_in_several_languages(spark, tmp_path):
     docs.write.parquet(f"{tmp_path}/docs")
     left = corpus_pipeline.identify_language(spark, spark.read.parquet(f"{tmp_path}/docs"), SF_DIR)
     assert {r[0] for r in left.filter("doc_id >= 10000000").select("doc_id").collect()} == {10_000_000 + i for i in range(3)}
+
+
+def test_of_rows_with_the_same_id_and_text_one_stays(spark, tmp_path):
+    rows = [(1, "t " * 9, "en", "x", 1), (1, "t " * 9, "de", "y", 1), (1, "t " * 9, None, "z", 2), (2, "other", "en", "b", 1),
+            (2, "other", "en", "a", 1), (None, "no id", "en", "b", 1), (None, "no id", "en", None, 1)]
+    kept = set()
+    for seed in range(2):
+        path = f"{tmp_path}/{seed}"
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+        docs.repartition(1 + 3 * seed, F.rand(seed)).write.parquet(path)
+        left = STAGES["near_copies"](spark, spark.read.parquet(path), SF_DIR)
+        assert left.columns == COLUMNS
+        kept.add(tuple(sorted(map(tuple, left.collect()), key=repr)))
+    assert kept == {tuple(sorted([(1, "t " * 9, None, "z", 2), (2, "other", "en", "a", 1), (None, "no id", "en", None, 1)], key=repr))}
