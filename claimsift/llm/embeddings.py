@@ -7,7 +7,9 @@ whose upper confidence bound stays below the threshold is left, and the cosine o
 
 Links are counted and condensed where they are found: a task returns, per class, how many vectors it links and one edge to
 the rest of its group. Cells are cut into blocks, so no task grows with a cell. Pairs that neither vector's probes reach
-are not found; the share of links found is measured in the tests and given in the README.
+are not found. So the number of probes follows the cells: it is the least with which a stated share of links at the
+threshold, the hardest to find, is reached; such links are made up from sampled vectors by turning each in a random
+direction. The share of links found is measured in the tests and given in the README.
 """
 
 from __future__ import annotations
@@ -26,20 +28,23 @@ from claimsift.llm.components import connected_components
 @dataclass(frozen=True)
 class Index:
     """``per_cell`` sets the number of centres (at most ``cells``), fitted on at most ``sample`` classes; ``probes`` is the
-    number of cells a class is compared with, ``spread`` the width of the confidence bound in standard errors, ``block``
-    the members or probes of a cell in one task."""
+    least number of cells a class is compared with, ``reached`` the share of made-up links at the threshold that the probes
+    must reach, ``spread`` the width of the confidence bound in standard errors, ``block`` the members or probes of a cell
+    in one task."""
 
     per_cell: int = 500
     cells: int = 16_384
     sample: int = 60_000
     probes: int = 12
+    reached: float = 0.98
     spread: float = 4.5
     block: int = 2_000
     seed: int = 5
 
 
 def _valid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The vector as bytes of doubles; null where it has nothing to compare."""
+    """The vector as bytes of doubles, scaled by a power of two so that its square has a value; null where it has nothing
+    to compare."""
     for batch in batches:
         out = []
         for v in batch.column(1):
@@ -48,7 +53,10 @@ def _valid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 out.append(None)
                 continue
             x = np.asarray(values).astype(np.float64)
-            out.append((x + 0.0).tobytes() if np.isfinite(x).all() and x.any() and np.isfinite(x @ x) and x @ x > 0 else None)
+            if np.isfinite(x).all() and x.any():
+                out.append((np.ldexp(x, -np.frexp(np.abs(x).max())[1]) + 0.0).tobytes())
+            else:
+                out.append(None)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["vec_id", "vec"])
 
 
@@ -70,6 +78,36 @@ def fit_centres(units: np.ndarray, cells: int, seed: int) -> np.ndarray:
     return centres
 
 
+def nearest(units: np.ndarray, centres: np.ndarray, probes: int) -> np.ndarray:
+    """The ``probes`` nearest centres of each vector, nearest first, ties to the smaller number."""
+    like = units @ centres.T
+    if probes < len(centres):
+        near = np.sort(np.argpartition(-like, probes - 1, axis=1)[:, :probes], axis=1)
+    else:
+        near = np.broadcast_to(np.arange(len(centres)), like.shape)
+    order = np.argsort(-np.take_along_axis(like, near, axis=1), axis=1, kind="stable")
+    return np.take_along_axis(near, order, axis=1)
+
+
+def probes_needed(units: np.ndarray, centres: np.ndarray, threshold: float, index: Index) -> int:
+    """The least number of probes with which the share ``index.reached`` of links at the threshold is found."""
+    if len(centres) <= index.probes or threshold >= 1:
+        return min(index.probes, len(centres))
+    rng = np.random.RandomState(index.seed + 1)
+    x = units[rng.permutation(len(units))[:1000]]
+    aside = rng.standard_normal(x.shape)
+    aside -= (aside * x).sum(axis=1, keepdims=True) * x
+    y = threshold * x + np.sqrt(1 - threshold**2) * aside / np.sqrt((aside * aside).sum(axis=1, keepdims=True))
+
+    def rank(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Centres that are nearer to ``a`` than the one nearest to ``b``."""
+        like, home = a @ centres.T, (b @ centres.T).argmax(axis=1)
+        return (like > like[np.arange(len(a)), home][:, None]).sum(axis=1)
+
+    either = np.sort(np.minimum(rank(x, y), rank(y, x)))
+    return int(np.clip(either[int(np.ceil(index.reached * len(either))) - 1] + 1, index.probes, len(centres)))
+
+
 def rotation(dims: int, seed: int) -> np.ndarray:
     q, r = np.linalg.qr(np.random.RandomState(seed).standard_normal((dims, dims)))
     return q * np.sign(np.diag(r))
@@ -104,9 +142,8 @@ def _spread_out(cells: np.ndarray, keys: np.ndarray, blocks: np.ndarray, other:
     return own[row], row, np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
 
 
-def _placed(dims: int, centres: np.ndarray, turn: np.ndarray, index: Index, home_blocks, probe_blocks):
+def _placed(dims: int, centres: np.ndarray, turn: np.ndarray, probes: int, home_blocks, probe_blocks):
     """Members with their codes and probes, dealt to (cell, block of members, block of probes)."""
-    probes = min(index.probes, len(centres))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -114,7 +151,7 @@ def _placed(dims: int, centres: np.ndarray, turn: np.ndarray, index: Index, home
                 batch = whole.slice(at, 1024)
                 raw = batch.column(1).to_pylist()
                 x, key, copies = _units(raw, dims), np.asarray(batch.column(0)), np.asarray(batch.column(2))
-                near = np.argsort(-(x @ centres.T), axis=1, kind="stable")[:, :probes]
+                near = nearest(x, centres, probes)
                 home = near[:, 0]
                 bits, size, factor = encode(x - centres[home], turn)
                 own, row, other = _spread_out(home, key, home_blocks, probe_blocks)
@@ -228,15 +265,14 @@ def _links(classes: DataFrame, dims: int, threshold: float, index: Index) -> Dat
     spark, count = classes.sparkSession, classes.count()
     cells = int(np.clip(count // index.per_cell, 1, index.cells))
     sample = classes.orderBy("key").select("vec").limit(min(index.sample, 16 * cells + 1000)).collect()
-    centres = fit_centres(_units([r["vec"] for r in sample], dims), cells, index.seed)
-    turn = rotation(dims, index.seed)
-    probes = min(index.probes, cells)
+    units = _units([r["vec"] for r in sample], dims)
+    centres = fit_centres(units, cells, index.seed)
+    turn, probes = rotation(dims, index.seed), probes_needed(units, centres, threshold, index)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
-                near = np.argsort(-(_units(batch.column(0).slice(at, 1024).to_pylist(), dims) @ centres.T), axis=1,
-                                  kind="stable")[:, :probes]
+                near = nearest(_units(batch.column(0).slice(at, 1024).to_pylist(), dims), centres, probes)
                 n = np.bincount(near[:, 0], minlength=cells), np.bincount(near.ravel(), minlength=cells)
                 some = np.flatnonzero(n[1])
                 yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(n[0][some]), pa.array(n[1][some])],
@@ -249,6 +285,6 @@ def _links(classes: DataFrame, dims: int, threshold: float, index: Index) -> Dat
     for cell, members, asked in sizes:
         blocks[:, cell] = max(1, -(-members // index.block)), max(1, -(-asked // index.block))
     placed = classes.select("key", "vec", "copies").mapInArrow(
-        _placed(dims, centres, turn, index, blocks[0], blocks[1]), PLACED)
+        _placed(dims, centres, turn, probes, blocks[0], blocks[1]), PLACED)
     return placed.groupBy("cell", "home_block", "probe_block").applyInArrow(
         _compared(dims, centres, turn, index, threshold), "key long, root long, links long")
