@@ -6,6 +6,7 @@ import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -19,17 +20,33 @@ U64 = np.uint64
 #: Texts differ in length a hundred-thousandfold, so batches for Python are cut by size.
 BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
 _shipped: set[str] = set()
+_discarded: list[list[str]] = []
 _codec = pa.Codec("zstd", compression_level=1)
 
 
-def staged(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: its lineage ends here, so lost executors never repeat it."""
+def staged(df: DataFrame, purpose: str, keep: bool = False) -> DataFrame:
+    """``df`` written to the shared folder and read back: its lineage ends here, so lost executors never repeat it. With
+    ``keep`` it outlives a block of ``discarding``."""
     spark = df.sparkSession
     path = f"{shared_folder(spark, 'llm')}/{purpose}"
     df.write.parquet(path)
+    if _discarded and not keep:
+        _discarded[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def discarding(spark: SparkSession) -> Iterator[None]:
+    """Deletes what is staged within when the block ends. For callers that have written by then what they need."""
+    _discarded.append([])
+    try:
+        yield
+    finally:
+        for path in _discarded.pop():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def parts(spark: SparkSession) -> int:
     """Pieces in which keyed work is dealt out: follows the number of shuffle partitions, which follows the data."""
     return 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -1,12 +1,14 @@
 """Every stage of the pipeline on its own input, against plain Python."""
 
+import uuid
+from collections import Counter
+
 import duckdb
 import pytest
-from collections import Counter
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from claimsift.llm import sql
+from claimsift.llm import common, sql
 from tests.llm import brute
 from tests.llm.test_operators import encoded, numbers
 
@@ -142,3 +144,11 @@ def test_of_rows_with_the_same_id_and_text_one_stays(spark, tmp_path):
         assert left.columns == COLUMNS
         kept.add(tuple(sorted(map(tuple, left.collect()), key=repr)))
     assert kept == {tuple(sorted([(1, "t " * 9, None, "z", 2), (2, "other", "en", "a", 1), (None, "no id", "en", None, 1)], key=repr))}
+
+
+def test_tables_of_the_stages_do_not_stay(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(common, "shared_folder", lambda _, purpose: f"{tmp_path}/claimsift/{purpose}-{uuid.uuid4().hex}")
+    packed = corpus_pipeline.run(spark, SF_DIR)
+    left = {p.parent.name for p in tmp_path.glob("claimsift/llm-*/*/_SUCCESS")}
+    assert left == {f"stage_{name}" for name in STAGES if name != "pack"}
+    assert packed.count() > 0
