@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimsift.llm import jaccard, language, mixing, packing, substrings
-from claimsift.llm.common import ready, staged
+from claimsift.llm.common import discarding, ready, staged
 
 #: Columns that operators add to those of their input.
 ADDED = {"held_out", "lang_pred", "score", "spans", "in_language", "n_words", "n_removed", "kept"}
@@ -95,5 +95,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), f"stage_{name}")
+        with discarding(spark):  # a stage's own tables go once its result is written
+            docs = staged(stage(spark, docs, sf_dir), f"stage_{name}", keep=True)
     return STAGES[-1][1](spark, docs, sf_dir)
