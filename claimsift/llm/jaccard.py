@@ -7,9 +7,11 @@ keeps all links between classes without ever comparing all pairs of a group:
    class holds, with their frequency. Shingles found once never count towards an overlap, so a class with fewer than
    75 % of shared shingles has no partner and goes no further.
 2. *Index lists.* Shingles in order of frequency, a class is listed under its first ones only, as many as a partner
-   cannot all miss. Pairs of a short list are masked by what their sizes and positions still let them share; no blocks
-   of a list are skipped.
-3. *Hubs.* A long list pairs each member only with its hub, the member whose shingles are the most common. The overlaps
+   cannot all miss. A list is in order of set size. What a member still has from its position in the list on bounds what
+   it can share, and so the sizes of its partners: they are one block of the list, found by binary search, and everything
+   before and behind it is skipped. A member whose block holds nobody else leaves the list. The pairs of a short list are
+   masked by the same bounds.
+3. *Hubs.* A long list pairs each member that is left only with its hub, the member whose shingles are the most common. The overlaps
    with the hub bound the overlap of any two members from both sides: |x&y| >= |x&h| + |y&h| - |h| and
    |x&y| <= min(|x&h|, |y&h|) + min(|x'|-|x&h|, |y'|-|y&h|), where x' is what x shares with any class. So the answers of a set follow from those of the hub
    it resembles; only pairs that the bounds leave open, and that links do not already connect, are computed.
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from claimsift.llm.common import U64, pack, parts, ready, signed, staged, unpack, unsigned
+from claimsift.llm.common import U64, lean, lean_group, pack, parts, ready, signed, staged, unpack, unsigned
 from claimsift.llm.components import connected_components
 from claimsift.llm.words import Chunk, chunks, mix, sequence_hashes
 
@@ -75,7 +77,7 @@ def document_sets(docs: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
 
     kind = docs.schema[doc_id].dataType.simpleString()
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(
-        run, f"doc_id {kind}, n_shingles long, print long")
+        lean(run), f"doc_id {kind}, n_shingles long, print long")
 
 
 def _bounds(ranges: int) -> np.ndarray:
@@ -116,7 +118,8 @@ def _sent(docs: DataFrame, text: str, k: int, ranges: int) -> DataFrame:
                     ["part", "chunk", "packed"])
                 number += 1
 
-    return docs.select(F.col(text).cast("string").alias("text")).mapInArrow(run, "part int, chunk long, packed binary")
+    return docs.select(F.col(text).cast("string").alias("text")).mapInArrow(
+        lean(run), "part int, chunk long, packed binary")
 
 
 def _shared(table: pa.Table) -> pa.Table:
@@ -165,8 +168,10 @@ def _gathered(percent: int):
 def candidate_sets(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
     """``print, size, common, tokens`` of the classes that can have a partner, once each."""
     spark = docs.sparkSession
-    shared = _sent(docs, text, k, parts(spark)).groupBy("part").applyInArrow(_shared, "chunk long, packed binary")
-    sets = shared.groupBy("chunk").applyInArrow(_gathered(percent), "print long, size long, common double, tokens binary")
+    shared = _sent(docs, text, k, parts(spark)).groupBy("part").applyInArrow(
+        lean_group(_shared), "chunk long, packed binary")
+    sets = shared.groupBy("chunk").applyInArrow(
+        lean_group(_gathered(percent)), "print long, size long, common double, tokens binary")
     return sets.dropDuplicates(["print"])
 
 
@@ -198,7 +203,7 @@ def _listed(sets: DataFrame, percent: int, ranges: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(used.astype(np.int32)), pa.array(rows, pa.binary())], ["part", "packed"])
 
-    return sets.select("print", "size", "common", "tokens").mapInArrow(run, "part int, packed binary")
+    return sets.select("print", "size", "common", "tokens").mapInArrow(lean(run), "part int, packed binary")
 
 
 def _reach(na: np.ndarray, nb: np.ndarray, bound: np.ndarray, percent: int) -> np.ndarray:
@@ -206,6 +211,21 @@ def _reach(na: np.ndarray, nb: np.ndarray, bound: np.ndarray, percent: int) -> n
     return 100 * bound >= percent * (na + nb - bound)
 
 
+def _with_partner(of: np.ndarray, size: np.ndarray, left: np.ndarray, percent: int) -> np.ndarray:
+    """Entries whose block of possible partners holds another entry.
+
+    Entries are in order of list (``of``) and size. A set of size a that can share at most ``left`` has partners of sizes b
+    with percent * a <= 100 * b <= 100 * 100 * a / percent and 100 * left >= percent * (a + b - left).
+    """
+    low = (percent * size + 99) // 100
+    high = np.minimum(100 * size // percent, (100 + percent) * left // percent - size)
+    wide = int(max(size.max(initial=0), high.max(initial=0))) + 2
+    place = of * wide + size
+    first = np.searchsorted(place, of * wide + low, "left")
+    behind = np.searchsorted(place, of * wide + np.maximum(high, -1), "right")
+    return behind - first - ((low <= size) & (size <= high)) > 0
+
+
 def _paired(percent: int):
     def run(table: pa.Table) -> pa.Table:
         """Of one range: pairs of short lists, and the pairs of hub and member of long ones."""
@@ -219,8 +239,8 @@ def _paired(percent: int):
         start, length = edge[:-1], np.diff(edge)
         found: list[tuple[np.ndarray, np.ndarray, bool]] = []
         for n in range(2, SHORT_LIST + 1):
-            # A list is in order of size: a block of equal distances is skipped where the smaller set is too small, or
-            # where the positions leave too little to share.
+            # A list is in order of size: pairs are masked where the smaller set is too small, or where the positions
+            # leave too little to share.
             lists = start[length == n]
             for gap in range(1, n):
                 for i in range(n - gap):
@@ -232,8 +252,10 @@ def _paired(percent: int):
         if len(long):
             of = np.repeat(np.arange(len(long)), length[long])
             at = np.concatenate([np.arange(s, s + n) for s, n in zip(start[long], length[long])])
+            some = _with_partner(of, size[at], left[at], percent)
+            of, at = np.unique(of[some], return_inverse=True)[1], at[some]
             order = np.lexsort((prints[at], ~rank[at], of))  # the most common first
-            hub = at[order][np.searchsorted(of, np.arange(len(long)))][of]
+            hub = at[order][np.searchsorted(of, np.arange(of.max(initial=-1) + 1))][of]
             found.append((prints[hub][hub != at], prints[at][hub != at], True))
         if not found:
             return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "hub": pa.array([], pa.bool_())})
@@ -274,7 +296,7 @@ def _computed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                            F.expr("octet_length(tokens) div 8").alias(f"{s}_held"))
     joined = pairs.join(side("b"), "b").join(side("a"), "a")
     return joined.select(*PAIR, "a_tokens", "b_tokens").mapInArrow(
-        _overlaps, "a long, b long, hub boolean, a_size long, b_size long, a_held long, b_held long, shared long")
+        lean(_overlaps), "a long, b long, hub boolean, a_size long, b_size long, a_held long, b_held long, shared long")
 
 
 def _linked(overlap: str, a_size: str, b_size: str, percent: int) -> F.Column:
@@ -286,7 +308,7 @@ def class_links(docs: DataFrame, text: str, k: int = 5, percent: int = 75) -> Da
     spark = docs.sparkSession
     sets = staged(candidate_sets(docs, text, k, percent), "sets")
     pairs = _listed(sets, percent, parts(spark)).groupBy("part").applyInArrow(
-        _paired(percent), "a long, b long, hub boolean")
+        lean_group(_paired(percent)), "a long, b long, hub boolean")
     first = staged(_computed(pairs.groupBy("a", "b").agg(F.max("hub").alias("hub")), sets), "overlaps")
     links = first.filter(_linked("shared", "a_size", "b_size", percent)).select("a", "b")
     spokes = first.filter("hub").select(
