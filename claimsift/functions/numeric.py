@@ -48,6 +48,8 @@ def combined(small: Column, wide: Column, widest: Column, units: int = MONEY) ->
 
 
 def exact_sum(value: Column | str, units: int = MONEY) -> Column:
+    if units == SCORE:  # scores are at most 1, so whole thousandths do
+        return F.sum(F.rint(_col(value) * F.lit(float(units))).cast("long")) / F.lit(float(units))
     return combined(*[F.sum(part) for part in parts_to_sum(value, units)], units)
 
 
