@@ -47,14 +47,14 @@ class Data:
         self.spark = spark
         self.folder = shared_folder(spark, "run")
         self._landed: dict[str, str] = {}
-        self._test = testdata.TestData(spark, sf_dir)
+        self._test = testdata.TestData(spark, sf_dir, f"{self.folder}/kept")
         self.run = Workspace(spark, self.land, f"{self.folder}/tables", SETTINGS)
 
     def land(self, name: str) -> str:
-        """Write the source table as CSV, once, and return its path."""
+        """Write the source table as compressed CSV, once, and return its path."""
         if name not in self._landed:
             path = f"{self.folder}/csv/{name}"
-            write_source(self._test.source(name), path)
+            write_source(self._test.source(name), path, "gzip")
             self._landed[name] = path
         return self._landed[name]
 

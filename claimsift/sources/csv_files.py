@@ -42,9 +42,9 @@ def read_source(
     return reader.schema(schema).option("enforceSchema", False).csv(path).select(*columns)
 
 
-def write_source(df: DataFrame, path: str) -> None:
+def write_source(df: DataFrame, path: str, compression: str | None = None) -> None:
     """Replace ``path`` with ``df`` as a directory of CSV files with a header each."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).csv(path, compression=compression)
 
 
 def source_path(spark: SparkSession, base: str, table: str) -> str:

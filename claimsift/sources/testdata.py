@@ -6,11 +6,10 @@ Every value is a function of the row it comes from, so the same tables can be de
 from __future__ import annotations
 
 import datetime as dt
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from claimsift.operators.keyed import first_per_key
-
 AS_OF = dt.date(2025, 3, 31)
 
 # The code lists of the source tables.
@@ -52,12 +51,17 @@ def div(number: Column | str, by: int) -> Column:
 
 
 class TestData:
-    """The source tables as lazy DataFrames over the parquet files below ``sf_dir``."""
+    """The source tables as lazy DataFrames over the parquet files below ``sf_dir``.
+
+    With ``kept``, a folder that all executors share, the lines are sorted once and kept there for the sources that need
+    them; without it each source sorts them anew.
+    """
 
     __test__ = False
 
-    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+    def __init__(self, spark: SparkSession, sf_dir: str, kept: str | None = None) -> None:
         self.spark, self.sf_dir = spark, sf_dir
+        self._kept, self._written, self._lock = kept, False, Lock()
 
     def source(self, name: str) -> DataFrame:
         return getattr(self, name)()
@@ -65,8 +69,22 @@ class TestData:
     def _raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def _lines(self) -> DataFrame:
+        """Lines with their number ``rn`` within the order, those that some source needs: the first and the delivered."""
+        within = Window.partitionBy("l_orderkey").orderBy(*_LINE_ORDER)
+        numbered = self._raw("lineitem").withColumn("rn", F.row_number().over(within))
+        lines = numbered.filter((F.col("rn") == 1) | (F.col("l_linestatus") == "F")).select(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "rn")
+        if self._kept is None:
+            return lines
+        with self._lock:
+            if not self._written:
+                lines.write.mode("overwrite").option("compression", "zstd").parquet(f"{self._kept}/lines")
+                self._written = True
+        return self.spark.read.schema(lines.schema).parquet(f"{self._kept}/lines")
+
     def _first_lines(self) -> DataFrame:
-        return first_per_key(self._raw("lineitem"), ["l_orderkey"], *_LINE_ORDER)
+        return self._lines().filter(F.col("rn") == 1)
 
     def _order_parts(self) -> dict[str, Column]:
         day = F.datediff(F.col("o_orderdate").cast("date"), F.lit(dt.date(1995, 1, 1))) % 60
@@ -145,13 +163,11 @@ class TestData:
         )
 
     def delivery_events(self) -> DataFrame:
-        lines = Window.partitionBy("l_orderkey").orderBy(*_LINE_ORDER)
         part, supp = F.col("l_partkey"), F.col("l_suppkey")
-        numbered = self._raw("lineitem").withColumn("rn", F.row_number().over(lines))
         delivery_id = F.concat(
             F.lit("DEL-"), F.lpad(F.col("l_orderkey").cast("string"), 9, "0"), F.lit("-"),
             F.lpad(F.col("rn").cast("string"), 3, "0"))
-        return numbered.filter(F.col("l_linestatus") == "F").select(
+        return self._lines().filter(F.col("l_linestatus") == "F").select(
             delivery_id.alias("delivery_id"), key("ORD", "l_orderkey", 9).alias("order_id"),
             pick(CARRIERS, supp % 5).alias("carrier"),
             F.when(part % 20 < 17, "delivered").when(part % 20 < 19, "attempted").otherwise("exception").alias("status"),

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimsift.operators import quality
+from claimsift.plans import registry
 from claimsift.plans.tables import TABLES, Workspace, build_all
 from claimsift.schemas import LIVE_CASES, SOURCES
 from claimsift.sources import testdata
@@ -26,6 +27,40 @@ def test_round_trip(spark, tmp_path, table):
     assert back.exceptAll(df.select(back.columns)).count() == 0 and back.count() == df.count()
 
 
+def write_orders(spark, folder):
+    """Orders with several lines, lines that come twice, an order without lines, lines without an order, and null keys."""
+    when = F.lit(dt.datetime(1995, 1, 2))
+    rows = [(key, number, 7 * number, number % 3, 10.0 * number, flag, status)
+            for key in (1, 2, 2, None) for number, flag, status in ((2, "N", "F"), (1, "R", "O"), (3, "R", "F"))]
+    rows += [(4, 1, 5, 5, 1.0, "R", "F"), (4, 1, 4, 5, 1.0, "N", "O"), (9, 1, 1, 1, 1.0, "R", "F")]
+    lines = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, " \
+            "l_returnflag string, l_linestatus string"
+    spark.createDataFrame(rows, lines).withColumn("l_shipdate", when).write.parquet(f"{folder}/lineitem.parquet")
+    orders = [(1, 10, 900.0, "F"), (2, 10, 600.0, "O"), (3, 11, 300.0, "P"), (4, 11, 900.0, "F"), (None, 12, 300.0, "F")]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_totalprice double, o_orderstatus string").withColumn(
+        "o_orderdate", when).write.parquet(f"{folder}/orders.parquet")
+
+
+def test_lines_are_sorted_once_for_all_sources(spark, tmp_path):
+    write_orders(spark, tmp_path)
+    plain, kept = testdata.TestData(spark, str(tmp_path)), testdata.TestData(spark, str(tmp_path), str(tmp_path / "kept"))
+    for table in ("order_history", "refund_requests", "delivery_events", "historical_decisions"):
+        df = kept.source(table)
+        assert "Window" not in df._jdf.queryExecution().executedPlan().toString(), table
+        assert sorted(map(str, df.collect())) == sorted(map(str, plain.source(table).collect())), table
+    orders = {r.order_id: r.product_id for r in kept.order_history().filter("order_id IS NOT NULL").collect()}
+    assert orders == {"ORD-000000001": "PROD-0000007", "ORD-000000002": "PROD-0000007", "ORD-000000003": None,
+                      "ORD-000000004": "PROD-0000004"}
+    assert sorted(r.refund_id for r in kept.refund_requests().collect()) == ["REF-000000001", "REF-000000002"]
+    delivered = [r.delivery_id for r in kept.delivery_events().filter("order_id = 'ORD-000000002'").collect()]
+    assert sorted(delivered) == [f"DEL-000000002-00{n}" for n in (3, 4, 5, 6)]
+
+
+def test_landed_sources_are_compressed(spark):
+    landed = registry.data(spark, SF_DIR).land("store_locations")
+    assert all(f.endswith(".csv.gz") for f in read_source(spark, landed, "store_locations").inputFiles())
+
+
 def test_inferred_schema_has_dates_and_booleans(spark, tmp_path):
     write_source(testdata.TestData(spark, SF_DIR).household_mappings(), str(tmp_path / "h"))
     inferred = dict(read_source(spark, str(tmp_path / "h"), "household_mappings", infer_schema=True).dtypes)
