@@ -13,7 +13,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from claimsift.operators import enrich, history, household, profiles, scoring, serving
 from claimsift.operators.quality import EXPECTATIONS, apply_expectations, log_quality
 from claimsift.schemas import SOURCES
-from claimsift.session import tune
+from claimsift.session import bound_tasks, tune
 from claimsift.settings import Settings
 from claimsift.sources.csv_files import DAMAGED, read_source, source_path
 from claimsift.sources.snapshots import bloom_filter
@@ -64,7 +64,7 @@ class Workspace:
     """
 
     def __init__(self, spark: SparkSession, locate: Callable[[str], str], out: str, settings: Settings) -> None:
-        self.spark, self.settings = tune(spark), settings
+        self.spark, self.settings = bound_tasks(tune(spark)), settings
         self._locate, self._out = locate, out.rstrip("/")
         self._ready: dict[str, DataFrame] = {}
         self.dropped: dict[str, Observation] = {}

@@ -26,6 +26,23 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# What one task sorts stays small however large the tables are: shuffles are cut finely, and adaptive execution merges
+# what is small; scans are cut so that a sort before a shuffle holds one or two million rows.
+TASK_CONF = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": 400,
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
+    "spark.sql.files.maxPartitionBytes": "16m",
+}
+
+
+def bound_tasks(spark: SparkSession) -> SparkSession:
+    """Set the options above on ``spark`` where nobody has set them, and return it."""
+    for key, value in TASK_CONF.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+    return spark
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``; a temporary one where a local session names none, as in tests. On a
     cluster, where executors do not share such a folder, and where the master is not known, the setting is required."""
