@@ -100,13 +100,16 @@ def apply_actions(live: DataFrame, actions: DataFrame) -> DataFrame:
 
     A claim has one row per membership of its customer, so no claim is a hot key and the join is a plain one.
     """
-    acted = _supersedes()
+    return _overlaid(live, latest_actions(actions))
+
+
+def _overlaid(live: DataFrame, latest: DataFrame) -> DataFrame:
     overlay = {
         "csr_action": "action",
         "csr_reason": "reason",
         "csr_acted_at": "acted_at",
     }
-    joined = live.join(latest_actions(actions), "refund_id", "left").withColumn("_acted", acted)
+    joined = live.join(latest, "refund_id", "left").withColumn("_acted", _supersedes())
     columns = {target: F.when(F.col("_acted"), F.col(source)).otherwise(F.col(target)) for target, source in overlay.items()}
     columns["workflow_state"] = F.when(F.col("_acted"), state_after(F.col("action"))).otherwise(F.col("workflow_state"))
     return joined.withColumns(columns).select(*live.columns)
@@ -127,6 +130,10 @@ def fold_actions(table: SnapshotTable, log: DataFrame, most_folders: int = 8) ->
 
     Rows that move to another partition are added to it as files of their own; a partition of more than ``most_folders``
     such additions is written anew with them. Everything else keeps its files.
+
+    The cases of those partitions are shuffled once, whatever their number and that of the actions: few actions reach them
+    where they lie, and the rows are gathered by partition to be written; for more, cases and actions meet by claim, and
+    each task writes what it has, some megabytes and so a file of every partition.
     """
     before = table.current()
     fresh = _unfolded(before, log)
@@ -142,7 +149,8 @@ def fold_actions(table: SnapshotTable, log: DataFrame, most_folders: int = 8) ->
     folders = {name: writes for name, writes in before.folders.items() if name not in touched}
     if touched:
         affected = table.read(Snapshot(before.version, {name: before.folders[name] for name in touched}))
-        for name, writes in table.write_files(apply_actions(affected, fresh)).items():
+        folded = _overlaid(affected, latest.hint("broadcast" if few is not None else "merge"))
+        for name, writes in table.write_files(folded, gather=few is not None).items():
             folders[name] = [*folders.get(name, []), *writes]
     return table.publish(folders, before, before.notes | {FOLDED: last})
 

@@ -141,7 +141,7 @@ def _reviewed(d: Data, fold_after: tuple[int, ...]) -> DataFrame:
     """The cases after three batches of actions; those named are folded into the table, the others laid over it."""
     folder = shared_folder(d.spark, "review")
     table, log = serving.live_table(d.spark, f"{folder}/live_cases"), f"{folder}/actions"
-    table.replace(serving.live_cases(d["case_decisioning"]))
+    table.replace(serving.live_cases(d["case_decisioning"]), gather=False)  # stored rows, in tasks of some megabytes
     deal = (testdata.claim_number() + F.hour("acted_at")) % 3 + 1
     for batch in (1, 2, 3):
         serving.append_actions(d.actions.filter(deal == batch), log, batch)

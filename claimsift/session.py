@@ -27,11 +27,12 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 # What one task sorts stays small however large the tables are: shuffles are cut finely, and adaptive execution merges
-# what is small; scans are cut so that a sort before a shuffle holds one or two million rows.
+# what is small; scans are cut so that a sort before a shuffle holds about a million rows, and take several small files.
 TASK_CONF = {
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": 400,
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
-    "spark.sql.files.maxPartitionBytes": "16m",
+    "spark.sql.files.maxPartitionBytes": "8m",
+    "spark.sql.files.openCostInBytes": "1m",
 }
 
 

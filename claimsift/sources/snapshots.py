@@ -90,15 +90,18 @@ class SnapshotTable:
         escape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
         return "/".join(escape(name, row[name]) for name in self.partitions)
 
-    def write_files(self, df: DataFrame) -> dict[str, list[str]]:
+    def write_files(self, df: DataFrame, gather: bool = True) -> dict[str, list[str]]:
         """Writes rows without publishing them; their partitions with the one folder that holds each.
 
         The rebalance hint brings the rows of a partition together without forcing a large one into a single task:
-        adaptive execution splits big partitions and merges small ones.
+        adaptive execution splits big partitions and merges small ones. Without ``gather`` nothing is shuffled to be written:
+        each task sorts the rows it has and writes a file for every partition among them, which makes more and smaller files.
         """
         write = uuid.uuid4().hex
         target = self._path("data", f"{WRITE}={write}")
-        rows = df.select(*self.schema.fieldNames()).hint("rebalance", *self.partitions)
+        rows = df.select(*self.schema.fieldNames())
+        if gather:
+            rows = rows.hint("rebalance", *self.partitions)
         if self.order:
             # The writer sorts by the partitions itself, and forgets this order, unless it sees that they are never null; it
             # writes an empty value as a null one.
@@ -132,10 +135,10 @@ class SnapshotTable:
             raise
         return made
 
-    def replace(self, df: DataFrame, notes: dict[str, object] | None = None) -> Snapshot:
-        """``df`` in place of all rows. It may read the table itself."""
+    def replace(self, df: DataFrame, notes: dict[str, object] | None = None, gather: bool = True) -> Snapshot:
+        """``df`` in place of all rows. It may read the table itself. ``gather``: see ``write_files``."""
         before = self.current()
-        return self.publish(self.write_files(df), before, notes or {})
+        return self.publish(self.write_files(df, gather), before, notes or {})
 
     def expire(self, keep: int = 2, min_age_seconds: float = 86_400.0) -> list[str]:
         """Deletes all but the last ``keep`` snapshots, and folders that none of those names and that are old enough not to

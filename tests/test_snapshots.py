@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrameWriter, functions as F
 
 from claimsift.operators import serving
 from claimsift.schemas import ACTION_LOG
@@ -107,6 +107,29 @@ def test_folded_batches_equal_the_full_path_in_any_split(spark, table, tmp_path)
     assert same(table.read(), full)
 
 
+def test_cases_are_shuffled_at_most_once_to_be_written(spark, table, tmp_path, monkeypatch):
+    plans, partition = [], DataFrameWriter.partitionBy
+
+    def noted(writer, *columns):
+        plans.append(writer._df._jdf.queryExecution().executedPlan().toString())
+        return partition(writer, *columns)
+
+    monkeypatch.setattr(DataFrameWriter, "partitionBy", noted)
+    table.replace(table.read(), gather=False)
+    assert "Exchange" not in plans[0]
+    log = str(tmp_path / "actions")
+    for batch, known in ((1, None), (2, ["R4", "R5"])):  # many claims, then few
+        acted = actions(spark, ("R4", "rejected", "x", at(8 + batch)), ("R5", "approved", "x", at(8 + batch)))
+        full = serving.apply_actions(table.read(), acted)
+        serving.append_actions(acted, log, batch)
+        monkeypatch.setattr(serving, "few_ids", lambda _: known)
+        serving.fold_actions(table, serving.read_actions(spark, log))
+        assert same(table.read(), full)
+    many, few = plans[1:]
+    assert "REBALANCE" not in many and many.count("Exchange hashpartitioning(refund_id") == 2  # cases, actions
+    assert few.count("REBALANCE") == 1 and few.count("Exchange hashpartitioning(refund_id") == 1  # actions
+
+
 def test_a_repeated_batch_is_left_alone(spark, tmp_path):
     log = str(tmp_path / "actions")
     for _ in range(2):
